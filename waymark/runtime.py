@@ -66,7 +66,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def size_of(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan, in bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 BROADCAST_LIMIT = 32 << 20
