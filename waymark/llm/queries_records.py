@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import identity
 from ..operators.latest import current_places
 from ..runtime import broadcast_if_small, table
+from .linkage import link_records, records_of, whole_number
 from .representative import Bundle, Dependency, best_representative, tied_groups
 from .sample import sample_versions
 from .topn import top_n_per_group
@@ -56,6 +57,19 @@ def p1_records(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnsRenamed({"first_admit_id": "first_id", "admit_id": "survivor_id", "whole_whs": "whs"}).drop("group_id")
 
 
+def p3_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Holdout rows and the places they mean, with a confidence."""
+    places = current_places(table(spark, folder, "place"), "type", "name_en", "name_local", "aliases", "country_iso3", "lat", "lon", "whs_id").select(
+        "place_id", identity.country("country_iso3").alias("iso"), F.lower(identity.squeeze("type")).alias("type"), "lat", "lon", whole_number("whs_id").alias("whs"),
+        F.concat(F.array("name_en", "name_local"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"),
+    )
+    return link_records(records_of(table(spark, folder, "h1")), places)
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p3_links(spark, folder).select("golden_id", "place_id")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """First five places of every country and tier by sitelinks."""
     admit = table(spark, folder, "admit").select(identity.qid("qid").alias("qid"), "sitelinks").where("qid is not null and sitelinks >= 0")
@@ -73,7 +87,7 @@ def p6_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sample_versions(rows, "place_id", "type", "build_no", "loaded_at", ["qid"], RATES, SALT)
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p6_sample": p6_sample}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p4_found": p4_found, "p6_sample": p6_sample}
 
 _QID = r"nullif(regexp_extract(upper({0}), '(?:^|[^A-Z0-9])(Q[0-9]+)\s*$', 1), '')"
 _TIER = "CASE lower(trim({0})) WHEN 'icon' THEN 'Icon' WHEN 'major' THEN 'Major' WHEN 'notable' THEN 'Notable' WHEN 'local' THEN 'Local' END"

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import table
 from .leakage import leaked_items
+from .packing import pack_documents
+from .reading import fit_model, reading_levels
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -13,6 +16,21 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaked_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), "doc_id", "text", "item_id", "text")
 
 
-QUERIES = {"p8_found": p8_found}
+def p7_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 1,024 tokens."""
+    return pack_documents(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Reading grade of the English documents of fifty words or more."""
+    documents = table(spark, folder, "documents")
+    model = fit_model(documents, table(spark, folder, "labels"), "doc_id", "text", "grade")
+    # Words are what white space separates; Java's \\s is ASCII, so the flag for Unicode is given.
+    n_words = F.size(F.regexp_extract_all("text", F.lit(r"(?U)\S+"), F.lit(0)))
+    english = documents.where(F.lower("lang").startswith("en") & (F.length("text") >= 99) & (n_words >= 50))
+    return reading_levels(english, model, "doc_id", "text").select("doc_id", "grade")
+
+
+QUERIES = {"p7_sequences": p7_sequences, "p8_found": p8_found, "p9_found": p9_found}
 
 SQL: dict[str, str] = {}

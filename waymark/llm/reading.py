@@ -17,8 +17,9 @@ from .text import _TAG, repair
 
 GRADES = 5
 #: Most labelled documents that the models are fitted on; chosen by the smallest hash of the document's id.
-FIT_DOCUMENTS = 6_000
+FIT_DOCUMENTS = 4_000
 GRAM_BITS = 13
+CACHED_WORDS = 300_000
 _SPLIT = re.compile(r"(?<=[.?!;])[\s\"'”’)]+|[\r\n]+|(?<=:)\s|\s\|\s")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[,;:(]")
 
@@ -73,11 +74,10 @@ def _adam(parameters: list[np.ndarray], gradient, steps: int, rate: float) -> No
 class Strength:
     """L2 penalties of the three models, and training steps."""
 
-    word: float = 0.3
-    gram: float = 0.1
+    word: float = 0.01
+    gram: float = 0.005
     document: float = 0.3
-    steps: int = 120
-    rounds: int = 2
+    steps: int = 80
 
 
 class ReadingModel:
@@ -93,21 +93,16 @@ class ReadingModel:
         self.grams = np.zeros((1 << GRAM_BITS, GRADES))
         self.bias = np.zeros(GRADES)
         flat = [[types[w] for w in s] for d in split for s in d]
-        self.of_doc = np.repeat(np.arange(len(split)), [len(d) for d in split])
-        soft = target[self.of_doc]
-        weight = 1.0 / np.maximum(1, np.bincount(self.of_doc, minlength=len(split)))[self.of_doc] ** 0.5
+        of_doc = np.repeat(np.arange(len(split)), [len(d) for d in split])
+        soft = target[of_doc]
+        weight = 1.0 / np.maximum(1, np.bincount(of_doc, minlength=len(split)))[of_doc] ** 0.5
         self._fit_sentences(flat, list(types), soft, weight)
-        self.cache: dict[str, np.ndarray] = {}
-        for k in range(strength.rounds):
-            inside = [self._sentence_probabilities(d) for d in split]
-            self._fit_documents(inside, split, target)
-            if k + 1 < strength.rounds and len(flat):
-                # Sentences of a mixed document need not have its grade: blend the label with what the model says.
-                own = np.vstack([p for p in inside if len(p)])
-                soft = 0.5 * target[self.of_doc] + 0.5 * _softmax(np.log(own + 1e-9) + np.log(target[self.of_doc] + 0.05))
-                self._fit_sentences(flat, list(types), soft, weight)
-                self.cache = {}
-        del self.of_doc
+        self._forget()
+        self.document = None
+        if not texts:
+            return
+        self._fit_documents([self._sentence_probabilities(d) for d in split], split, target)
+        self._forget()
 
     def _fit_sentences(self, flat: list[list[int]], types: list[str], soft: np.ndarray, weight: np.ndarray) -> None:
         if not flat:
@@ -138,25 +133,32 @@ class ReadingModel:
 
         _adam([self.words, self.grams, self.bias], gradient, s.steps, 0.3)
 
-    def _vector(self, word: str) -> np.ndarray:
-        got = self.cache.get(word)
-        if got is None:
-            g = grams(word)
-            got = self.grams[g].mean(axis=0) if g else np.zeros(GRADES)
-            k = self.known.get(word)
-            got = got if k is None else got + self.words[k]
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[word] = got
-        return got
+    def _row(self, word: str) -> int:
+        """Row of the word's vector in ``matrix``; new words are added, and all are dropped when there are too many."""
+        if self.filled == len(self.matrix):
+            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+        g = grams(word)
+        vector = self.grams[g].mean(axis=0) if g else np.zeros(GRADES)
+        k = self.known.get(word)
+        self.matrix[self.filled] = vector if k is None else vector + self.words[k]
+        self.cache[word] = self.filled
+        self.filled += 1
+        return self.filled - 1
 
     def _sentence_probabilities(self, split: list[list[str]]) -> np.ndarray:
         if not split:
             return np.zeros((0, GRADES))
-        vector = self._vector
-        z = np.array([vector(w) for s in split for w in s])
+        if self.filled > CACHED_WORDS:
+            self._forget()
+        get, row = self.cache.get, self._row
+        ids = [r if (r := get(w)) is not None else row(w) for s in split for w in s]
         size = np.array([len(s) for s in split])
-        return _softmax(np.add.reduceat(z, np.concatenate([[0], np.cumsum(size)[:-1]])) / size[:, None] + self.bias)
+        z = np.add.reduceat(self.matrix[ids], np.concatenate([[0], np.cumsum(size)[:-1]]))
+        return _softmax(z / size[:, None] + self.bias)
+
+    def _forget(self) -> None:
+        self.cache: dict[str, int] = {}
+        self.matrix, self.filled = np.zeros((1024, GRADES)), 0
 
     @staticmethod
     def _profile(p: np.ndarray, split: list[list[str]]) -> np.ndarray:
@@ -189,5 +191,39 @@ class ReadingModel:
     def grade(self, text: str) -> int:
         return int(np.argmax(self.probabilities(text))) + 1
 
-    def __getstate__(self) -> dict:
-        return {**self.__dict__, "cache": {}}
+
+
+def fit_model(documents: DataFrame, labels: DataFrame, key: str, text: str, grade: str, most: int = FIT_DOCUMENTS, strength: Strength = Strength()) -> ReadingModel:
+    """The model fitted on at most ``most`` labelled documents, those with the smallest hash of their key.
+
+    A document graded more than once has the share of its grades as target. Grades outside 1 to 5 and null texts are ignored.
+    """
+    graded = labels.where(F.col(grade).between(1, GRADES) & F.col(key).isNotNull()).groupBy(key)
+    graded = graded.agg(*[F.avg((F.col(grade) == g).cast("double")).alias(f"_p{g}") for g in range(1, GRADES + 1)])
+    chosen = graded.orderBy(F.md5(F.col(key).cast("string")), key).limit(most)
+    rows = documents.select(key, text).where(F.length(text) > 0).join(F.broadcast(chosen), key).dropDuplicates([key]).orderBy(key).collect()
+    target = np.array([[r[f"_p{g}"] for g in range(1, GRADES + 1)] for r in rows]).reshape(-1, GRADES)
+    return ReadingModel([r[text] for r in rows], target, strength)
+
+
+def reading_levels(documents: DataFrame, model: ReadingModel, key: str, text: str) -> DataFrame:
+    """``(key, grade, level)`` for every row: the likeliest grade and the mean of the calibrated distribution.
+
+    Null, empty and wordless texts get nulls; repeated rows come out as often; an empty input gives an empty result. Whole
+    texts are read, in one pass without a shuffle; the model, whose size is bounded by ``FIT_DOCUMENTS``, is broadcast.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    slim = documents.select(F.col(key), F.col(text).alias("_t"))
+    schema = f"`{key}` {documents.schema[key].dataType.simpleString()}, grade int, level double"
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = shared.value
+        for batch in batches:
+            grades, levels = [], []
+            for t in batch["_t"]:
+                p = m.probabilities(t) if t and m.document is not None and sentences(t) else None
+                grades.append(None if p is None else int(np.argmax(p)) + 1)
+                levels.append(None if p is None else float(p @ np.arange(1, GRADES + 1)))
+            yield pd.DataFrame({key: batch[key], "grade": pd.array(grades, dtype="Int32"), "level": pd.array(levels, dtype="Float64")})
+
+    return slim.mapInPandas(score, schema)
