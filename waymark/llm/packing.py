@@ -186,7 +186,8 @@ def pack_texts(counts: DataFrame, key: str, capacity: int = CAPACITY) -> DataFra
     * Repeated rows are packed as often as they occur; equal lengths are told apart by key, then piece, so the plan and the
       sequences' fill do not depend on partitions. Null keys are packed like others. Empty input, empty result.
 
-    The driver sees the histogram alone (``capacity`` rows at most); the plan has a few rows a length and is sent to all.
+    The driver sees the histogram alone (``capacity`` rows at most) and makes a plan of a few rows a length, which is broadcast
+    while it is small and joined by shuffle otherwise.
     Ranks within a length are counted in hashed buckets, so a length that a third of all texts share is never one task.
     """
     if capacity < 1:
@@ -219,7 +220,7 @@ def pack_texts(counts: DataFrame, key: str, capacity: int = CAPACITY) -> DataFra
     ranked = pieces.withColumn("_r", F.row_number().over(own) - 1)
     if buckets > 1:
         ranked = ranked.join(broadcast_if_small(offsets), (F.col("_len") == F.col("_ol")) & (F.col("_bucket") == F.col("_ob"))).withColumn("_r", F.col("_r") + F.col("_offset"))
-    placed = ranked.join(F.broadcast(plan), (F.col("_len") == F.col("_l")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to")))
+    placed = ranked.join(broadcast_if_small(plan), (F.col("_len") == F.col("_l")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to")))
     out = placed.select((F.col("_r") + F.col("_shift")).alias("sequence"), "position", F.col("_key").alias(key), F.col("_piece").alias("piece"), (F.col("_piece").cast("bigint") * c).alias("start"), F.col("_len").alias("n_tokens"))
     nothing = base.where("_n = 0").select(F.lit(None).cast("bigint").alias("sequence"), F.lit(None).cast("int").alias("position"), F.col("_key").alias(key), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"), F.lit(0).alias("n_tokens"))
     return out.unionByName(nothing)
