@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import core_problems
+from . import core_problems, signal_queries
 
-_MODULES = (core_problems,)
+_MODULES = (core_problems, signal_queries)
 
-FLAGSHIP = core_problems.p5_found
+FLAGSHIP = signal_queries.q01_attention_signal
 
 
 def queries() -> dict:
