@@ -43,7 +43,7 @@ def sample_versions(rows: DataFrame, key: str, stratum: str, version: str, writt
     * Null keys and null versions are ignored; a null stratum or one without a rate gets ``default``.
     * An empty input gives an empty result; other columns are not read.
 
-    All reductions have map-side parts; only the list of versions is broadcast.
+    All reductions have map-side parts; only the list of versions, one number a delivery, passes through the driver.
     """
     rows = rows.where(F.col(key).isNotNull() & F.col(version).isNotNull())
     firsts = [F.min(F.when(F.col(c).isNotNull(), F.struct(version, c)))[c].alias(c) for c in keep]
@@ -55,11 +55,12 @@ def sample_versions(rows: DataFrame, key: str, stratum: str, version: str, writt
     known = known.withColumn("_position", hash_position(F.col(key), salt))
     # Keys below their final threshold are the only ones that can appear in any version.
     known = known.where(F.col("_position") < _limit(F.col(stratum), limits[-1][1], default))
-    versions = rows.select(F.col(version).alias("_v")).distinct()
+    versions = F.array(*[F.lit(r[0]) for r in rows.select(version).distinct().orderBy(version).collect()] or [F.lit(None).cast(rows.schema[version].dataType)])
     limit = F.lit(threshold(default))
     for v, rates in limits:
         limit = F.when(F.col("_v") >= v, _limit(F.col(stratum), rates, default)).otherwise(limit)
-    out = known.join(F.broadcast(versions), F.col("_v") >= F.col("_since")).where(F.col("_position") < limit)
+    later = F.filter(versions, lambda v: v >= F.col("_since"))
+    out = known.withColumn("_v", F.explode(later)).where(F.col("_position") < limit)
     return out.select(F.col("_v").alias(version), key, stratum, *keep)
 
 
