@@ -84,3 +84,28 @@ def near_pairs(points: DataFrame, key: str, lat: str, lon: str, km: float) -> Da
     other = points.select(F.col(key).alias("_kb"), F.col(lat).alias("_lat_b"), F.col(lon).alias("_lon_b")).where(F.col("_kb").isNotNull())
     out = points_near_points(slim, other, km, km, ("_lat_a", "_lon_a"), ("_lat_b", "_lon_b"), extra=F.col("_ka") < F.col("_kb"))
     return out.select(F.col("_ka").alias(f"{key}_a"), F.col("_kb").alias(f"{key}_b"), "distance_km")
+
+
+def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_pos: tuple[str, str], right_pos: tuple[str, str], start_km: float = 8.0, extra: Column | None = None) -> DataFrame:
+    """``(left_key, right_key, distance_km)``: the nearest row of ``right`` for every located row of ``left``, ties by key.
+
+    The radius quadruples from ``start_km``; a round looks at the rows that have found nothing yet, so most work is done at
+    radii at which a cell holds few points. A row finds its nearest as soon as anything lies within its radius. The last
+    round reaches round the globe; rows without any partner under ``extra`` get none.
+    """
+    from ..runtime import Stored
+
+    todo = Stored(left.where(geo.located(F.col(left_pos[0]), F.col(left_pos[1]))), "nearest")
+    found, km = None, start_km
+    half = math.pi * geo.EARTH_KM
+    while True:
+        last = km >= half
+        hits = points_near_points(todo.df, right, min(km, half), min(km, half), left_pos, right_pos, extra)
+        best = hits.groupBy(left_key).agg(F.min(F.struct("distance_km", right_key)).alias("_b")).select(left_key, F.col("_b")[right_key].alias(right_key), F.col("_b.distance_km").alias("distance_km"))
+        best = Stored(best, "nearest").df
+        found = best if found is None else found.union(best)
+        rest = Stored(todo.df.join(best.select(left_key), left_key, "left_anti"), "nearest")
+        if last or rest.df.isEmpty():
+            return found
+        todo.drop()
+        todo, km = rest, km * 4

@@ -206,7 +206,7 @@ SQL = {
         FROM a WHERE qid IS NOT NULL AND (s OR p OR h OR w OR n)""",
     "q06_semi_join": f"SELECT admit_id, {sql_qid('qid')} qid FROM admit WHERE {sql_qid('qid')} IN (SELECT {sql_qid('qid')} FROM admit WHERE sitelinks >= 40)",
     "q07_candidate_assembly": f"""
-        WITH {CANDIDATES} SELECT qid, iso3, array_to_string(isos, '|') isos, sitelinks, population, array_to_string(classes, '|') classes, array_to_string(heritage, '|') heritage,
+        WITH {CANDIDATES} SELECT qid, iso3, array_to_string(coalesce(isos, []), '|') isos, sitelinks, population, array_to_string(classes, '|') classes, array_to_string(heritage, '|') heritage,
                                  label_en, label_loc, lat, lon, whs, wdpa, voyage FROM cand""",
     "q08_first_class_hit": f"""
         {_WITH} SELECT qid, place_type, kind_hint,
