@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Stored
 from .resolution import chain_roots
 
 # The id alphabet, and the order in which key schemes name a place.
@@ -74,7 +75,7 @@ def mint_or_reuse(registry: DataFrame, candidates: DataFrame, build: str, turns:
     bad = found.where("problem is not null").limit(3).collect()
     if bad:
         raise MintingError("; ".join(f"{r['candidate']}: {r['problem']}" for r in bad))
-    joined = cands.join(found.select("candidate", "current"), "candidate")
+    joined = Stored(cands.join(found.select("candidate", "current"), "candidate"), "mint").df
     twice = joined.where("current is not null").groupBy("current").agg(F.count("*").alias("n")).where("n > 1").limit(3).collect()
     if twice:
         raise MintingError(f"several candidates lead to {[r['current'] for r in twice]}")
