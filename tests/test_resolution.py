@@ -44,6 +44,7 @@ def test_greedy_assignment(spark):
             rs.add(b)
     df = spark.createDataFrame(pairs, "l string, r string, c int")
     assert {tuple(x) for x in greedy_assignment(df, "l", "r", "c").collect()} == want
+    assert {tuple(x) for x in greedy_assignment(df, "l", "r", "c", local=0).collect()} == want
     assert greedy_assignment(df.where("false"), "l", "r", "c").count() == 0
 
 

@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import Stored
 
 MAX_ROUNDS = 200
+#: Bound on the pairs that one task assigns in order.
+LOCAL_PAIRS = 200_000
 
 
-def greedy_assignment(pairs: DataFrame, left: str, right: str, cost: str) -> DataFrame:
+def greedy_assignment(pairs: DataFrame, left: str, right: str, cost: str, local: int = LOCAL_PAIRS) -> DataFrame:
     """One-to-one pairs as taken cheapest first: ``(left, right, cost)``.
 
     Pairs are in one total order of cost, left, right. A pair that comes first among the open pairs of both its ends is taken
     by the sequential rule whatever else happens, so all such pairs are taken at once and their ends closed, until no pair is
     open. Work per round is two minima with map-side parts; a left or right with very many pairs is no single task.
 
-    Null ends or costs are ignored, repeated pairs count once at their least cost, an empty input gives an empty result.
+    Null ends or costs are ignored, repeated pairs count once at their least cost, an empty input gives an empty result. Up to
+    ``local`` open pairs are finished by one task that runs through them in order, with the same result.
     """
     slim = pairs.select(F.col(left).alias("l"), F.col(right).alias("r"), F.col(cost).alias("c")).where("l is not null and r is not null and c is not null")
     now = Stored(slim.groupBy("l", "r").agg(F.min("c").alias("c")), "pairs")
     taken = now.df.where(F.lit(False))
     rank = F.struct("c", "l", "r")
     for _ in range(MAX_ROUNDS):
-        if now.df.isEmpty():
+        if now.df.count() <= local:
+            taken = taken.union(_in_order(now.df))
             return taken.select(F.col("l").alias(left), F.col("r").alias(right), F.col("c").alias(cost))
         by_left = now.df.groupBy("l").agg(F.min(rank).alias("b")).select("b.*")
         by_right = now.df.groupBy("r").agg(F.min(rank).alias("b")).select("b.*")
@@ -39,6 +44,25 @@ def greedy_assignment(pairs: DataFrame, left: str, right: str, cost: str) -> Dat
     raise RuntimeError("assignment did not end")
 
 
+def _in_order(pairs: DataFrame) -> DataFrame:
+    """The sequential rule on a bounded number of pairs, in one task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left, right = set(), set()
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch["l"], batch["r"]):
+                free = a not in left and b not in right
+                keep.append(free)
+                if free:
+                    left.add(a)
+                    right.add(b)
+            yield batch[pd.Series(keep, index=batch.index, dtype=bool)][["l", "r"]]
+
+    order = pairs.repartition(1).sortWithinPartitions("c", "l", "r").select("l", "r")
+    return order.mapInPandas(run, order.schema).join(pairs, ["l", "r"]).select("l", "r", "c")
+
+
 def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``(id, center)``: greedy star clustering in order of ``priority`` (smaller first, then id).
 
