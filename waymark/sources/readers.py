@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import ArrayType, StringType, StructType, _parse_datatype_string
 
 
 def _schema(spark: SparkSession, schema: str | StructType) -> StructType:
@@ -50,14 +50,12 @@ def read_bundle(spark: SparkSession, folder: str) -> DataFrame:
 
     A place without a country takes its document's; aliases may be texts or objects with ``alias``.
     """
-    from pyspark.sql.types import _parse_datatype_string
-
     place = _parse_datatype_string(PLACE)
     root = f"{folder}/places"
     if any(f.getPath().getName().startswith("iso3=") for f in _list(spark, root)):
         return spark.read.schema(place).json(root)
-    loose = StructType([f for f in place.fields if f.name != "aliases"]).add("aliases", "array<string>")
-    doc = StructType().add("iso3", "string").add("places", f"array<{loose.simpleString()}>")
+    loose = StructType([f for f in place.fields if f.name != "aliases"]).add("aliases", ArrayType(StringType()))
+    doc = StructType().add("iso3", "string").add("places", ArrayType(loose))
     rows = spark.read.schema(doc).json(root, multiLine=True).select(F.col("iso3").alias("_doc"), F.explode("places").alias("p")).select("_doc", "p.*")
     alias = F.transform("aliases", lambda a: F.coalesce(F.when(a.startswith("{"), F.get_json_object(a, "$.alias")), a))
     return rows.withColumns({"iso3": F.coalesce("iso3", "_doc"), "aliases": alias}).select(*[f.name for f in place.fields])
