@@ -74,13 +74,19 @@ def classified(cands: DataFrame, types: DataFrame, living: list[str] = ()) -> Da
     place-like. ``types`` is a rule table, bounded by its file, and is broadcast.
     """
     hits = cands.select("qid", F.explode("classes").alias("class_qid")).join(F.broadcast(types), "class_qid")
-    lives = F.array_contains(F.array(*map(F.lit, living)), F.col("class_qid")) if living else F.lit(False)
-    alive = F.bool_or(lives.eqNullSafe(True)).over(Window.partitionBy("qid")) & F.bool_or(F.col("place_like") & (F.col("place_type") == "settlement")).over(Window.partitionBy("qid"))
-    hits = hits.withColumn("_counts", F.col("place_like") & (~alive | (F.col("place_type") == "settlement")))
-    first = F.min(F.when(F.col("_counts"), F.struct("ord", "place_type", "kind_hint")))
-    hint = F.when((F.col("_counts") | ~F.col("place_like")) & F.col("kind_hint").isNotNull(), F.struct("ord", "kind_hint"))
-    found = hits.groupBy("qid").agg(first.alias("_t"), F.array_sort(F.collect_set(hint)).alias("_h"))
-    found = found.select("qid", F.col("_t.place_type").alias("place_type"), F.col("_t.kind_hint").alias("kind_hint"), F.slice(F.array_distinct(F.transform("_h", lambda x: x["kind_hint"])), 1, 3).alias("hints"))
+    lives = F.col("class_qid").isin(list(living)) if living else F.lit(False)
+    town = F.col("place_like") & (F.col("place_type") == "settlement")
+    row = F.struct("ord", "place_type", "kind_hint")
+    hint = F.when(F.col("kind_hint").isNotNull(), F.struct("ord", "kind_hint"))
+    # Both readings are folded in one aggregation; which one holds is known once all of an item's rows have been seen.
+    found = hits.groupBy("qid").agg(
+        (F.bool_or(lives) & F.bool_or(town)).alias("_alive"), F.min(F.when(F.col("place_like"), row)).alias("_any"), F.min(F.when(town, row)).alias("_town"),
+        F.collect_set(hint).alias("_hints"), F.collect_set(F.when(town | ~F.col("place_like"), hint)).alias("_town_hints"),
+    )
+    alive = F.coalesce("_alive", F.lit(False))
+    first, hints = F.when(alive, F.col("_town")).otherwise(F.col("_any")), F.when(alive, F.col("_town_hints")).otherwise(F.col("_hints"))
+    named = F.slice(F.array_distinct(F.transform(F.array_sort(hints), lambda x: x["kind_hint"])), 1, 3)
+    found = found.select("qid", first["place_type"].alias("place_type"), first["kind_hint"].alias("kind_hint"), named.alias("hints"))
     return cands.join(found, "qid", "left")
 
 

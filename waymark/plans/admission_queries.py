@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import identity
 from ..operators.candidates import admit, assemble, classified, context_reason
 from ..operators.latest import latest_rows
-from ..operators.ranking import TierRule, assign_tiers, country_rank, global_percentile, icon_count, notability, tier_violations, with_held
+from ..operators.ranking import assign_tiers, country_rank, global_percentile, icon_count, notability, tier_violations, with_held
 from ..runtime import table
 
 TYPES = ["settlement", "site", "area", "route"]

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo, identity
-from ..functions.stats import wilson_lower
+from ..functions.stats import noisy_or, wilson_lower
 from ..functions.text import base_name, fold
-
 from ..operators.candidates import whole_property
 from ..operators.kinds import KindRule, PairRule, class_tests, fire, kind_distribution, select_kinds
 from ..operators.latest import current_places
 from ..operators.resolution import ancestors, chain_roots, greedy_assignment, star_clusters, survivors
-from ..operators.spatial import near_pairs, nearest, points_near_points
+from ..operators.spatial import nearest, points_near_points
 from ..runtime import Stored, table
 from .admission_queries import ADMITTED, CANDIDATES, KINDS, TYPED, admitted, candidates, sql_qid, sql_tier
 
@@ -148,8 +147,6 @@ def q24_noisy_or(spark: SparkSession, d: str) -> DataFrame:
     """Strength of every kind of every candidate from its fired rules, before selection."""
     f = fired_candidates(spark, d).select("qid", F.explode("fired").alias("f")).select("qid", "f.*").where("role <> 'fallback'")
     best = f.groupBy("qid", "kind", "source").agg(F.max("strength").alias("s"))
-    from ..functions.stats import noisy_or
-
     return best.groupBy("qid", "kind").agg(noisy_or(F.collect_list("s"), 0.95).alias("strength"), F.count("*").alias("sources"))
 
 

@@ -279,7 +279,7 @@ SQL = {
                              WHERE iso3 IS NOT NULL AND NOT coalesce(type = 'route' AND tier = 'Local', false)),
         t AS (SELECT *, row_number() OVER (PARTITION BY iso3, type ORDER BY f DESC, rk DESC, place_id) turn FROM f),
         p AS (SELECT *, row_number() OVER (PARTITION BY iso3 ORDER BY f DESC, turn, rk DESC, place_id) AS position FROM t)
-        SELECT iso3, place_id, position FROM p JOIN quota USING (iso3) WHERE f OR position <= quota""",
+        SELECT iso3, place_id, position::INT AS position FROM p JOIN quota USING (iso3) WHERE f OR position <= quota""",
     "q45_gap_sentence": f"""
         WITH {PLACES}, k AS (SELECT DISTINCT iso3, lower(tier) || ' ' || type kind FROM pl WHERE tier IS NOT NULL AND iso3 IS NOT NULL),
         v AS (SELECT DISTINCT iso3, lower(tier) || ' ' || type kind FROM pl WHERE tier IS NOT NULL AND near IS NOT NULL),
