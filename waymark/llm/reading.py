@@ -18,6 +18,8 @@ from .text import _TAG, repair
 GRADES = 5
 #: Most labelled documents that the models are fitted on; chosen by the smallest hash of the document's id.
 FIT_DOCUMENTS = 4_000
+#: Of these, so many calibrate the documents' grades, each by a sentence model that has not seen it; and parts made of them.
+CALIBRATION_DOCUMENTS, FOLDS = 1_000, 4
 GRAM_BITS = 13
 CACHED_WORDS = 300_000
 _SPLIT = re.compile(r"(?<=[.?!;])[\s\"'”’)]+|[\r\n]+|(?<=:)\s|\s\|\s")
@@ -84,8 +86,31 @@ class ReadingModel:
     """Sentence scores are the mean of word vectors; a word's vector is its own weights plus those of its character grams."""
 
     def __init__(self, texts: list[str], target: np.ndarray, strength: Strength = Strength()):
-        self.strength = strength
         split = [[tokens(s) for s in sentences(t)] for t in texts]
+        self._fit_words(split, target, strength)
+        self.document = None
+        if not texts:
+            return
+        # What a model says of documents that it was fitted on is too sure of itself to calibrate by.
+        some = min(len(split), CALIBRATION_DOCUMENTS)
+        # Copies of one text fall into one part.
+        part = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts[:some]])
+        inside: list[np.ndarray] = [np.zeros((0, GRADES))] * some
+        for k in range(FOLDS):
+            mine = np.flatnonzero(part == k)
+            rest = np.flatnonzero(part != k)
+            model = self
+            if len(rest) and len(mine):
+                model = object.__new__(ReadingModel)
+                model._fit_words([split[i] for i in rest], target[rest], strength)
+            for i in mine:
+                inside[i] = model._sentence_probabilities(split[i])
+        self._fit_documents(inside, split[:some], target[:some])
+        self._forget()
+
+    def _fit_words(self, split: list[list[list[str]]], target: np.ndarray, strength: Strength) -> None:
+        """The sentence model, with every sentence under the grade of its document."""
+        self.strength = strength
         seen = Counter(w for d in split for w in {x for s in d for x in s})
         self.known = {w: k for k, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}
         types = {w: k for k, w in enumerate(sorted(seen))}
@@ -98,11 +123,6 @@ class ReadingModel:
         weight = 1.0 / np.maximum(1, np.bincount(of_doc, minlength=len(split)))[of_doc] ** 0.5
         self._fit_sentences(flat, list(types), soft, weight)
         self._forget()
-        self.document = None
-        if not texts:
-            return
-        self._fit_documents([self._sentence_probabilities(d) for d in split], split, target)
-        self._forget()
 
     def _fit_sentences(self, flat: list[list[int]], types: list[str], soft: np.ndarray, weight: np.ndarray) -> None:
         if not flat:
