@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, identity
 from ..functions.stats import cohen_kappa, kendall_tau
 from ..functions.text import bad_name, fold, short_name
+from ..functions.typed import decimal, tolerance_km
 from ..operators.latest import latest_rows
 from ..operators.product import best_over_keys, content_digest, gap_sentence, hash_sample, last_write, missing_kinds, months_filled, print_quota, print_selection
 from ..operators.spatial import points_near_points
@@ -111,15 +112,28 @@ def q39_hash_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q40_resolver_status(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates near a holdout row: unique or ambiguous among the well cited, near for the others."""
+    """Candidates near a holdout row: unique or ambiguous among the well cited, near for the others.
+
+    As its SQL states: numbers must be typed plainly. ``q40_resolver_candidates`` reads the other spellings too.
+    """
     h = table(spark, d, "h1").select("golden_id", F.expr("try_cast(lat as double)").alias("hla"), F.expr("try_cast(lon as double)").alias("hlo"), F.coalesce(F.expr("try_cast(tol_km as double)"), F.lit(5.0)).alias("tol")).distinct()
     c = candidates(spark, d).select("qid", "sitelinks", "lat", "lon")
+    return _resolver_status(h, c)
+
+
+def _resolver_status(h: DataFrame, c: DataFrame) -> DataFrame:
     near = points_near_points(h, c, F.col("tol"), 200.0, ("hla", "hlo"), ("lat", "lon"))
     strong = near.groupBy("golden_id").agg(F.count_if(F.col("sitelinks") >= 15).alias("strong"))
     status = F.when(F.col("sitelinks") < 15, "near").when(F.col("strong") == 1, "unique").otherwise("ambiguous")
     return near.join(strong, "golden_id").select("golden_id", "qid", F.round("distance_km", 4).alias("km"), status.alias("status"))
 
 
+def q40_resolver_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """``q40_resolver_status`` with coordinates and tolerances read as people type them."""
+    h = table(spark, d, "h1").select("golden_id", decimal("lat").alias("hla"), decimal("lon").alias("hlo"), tolerance_km("tol_km", 5.0).alias("tol")).distinct()
+    return _resolver_status(h, candidates(spark, d).select("qid", "sitelinks", "lat", "lon"))
+
+
 def q41_projections(spark: SparkSession, d: str) -> DataFrame:
     p = places(spark, d).where(geo.located(F.col("lat"), F.col("lon")) & (F.abs("lat") < 85))
     x, y = geo.equal_earth_mm(F.col("lat"), F.col("lon"))
@@ -201,7 +215,7 @@ def q51_last_write(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     q28_monthly_views, q29_best_over_keys, q30_key_conflicts, q31_churn, q32_count_gate, q33_coverage_floor, q34_lost_ids, q35_bad_names, q36_fold_names, q37_short_name,
-    q38_shared_evidence, q39_hash_sample, q40_resolver_status, q41_projections, q42_tile_partition, q43_widest_gap, q44_print_quota, q44_print_selection, q45_gap_sentence,
+    q38_shared_evidence, q39_hash_sample, q40_resolver_status, q40_resolver_candidates, q41_projections, q42_tile_partition, q43_widest_gap, q44_print_quota, q44_print_selection, q45_gap_sentence,
     q46_cohen_kappa, q47_kendall_tau, q48_json_props, q49_grouped_names, q50_content_digest, q51_last_write,
 )}
 
