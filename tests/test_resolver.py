@@ -23,3 +23,21 @@ def test_numbers_as_typed(spark, tmp_path):
     ]
     got = q40_resolver_candidates(spark, tables(spark, tmp_path, items, rows)).where(F.col("qid").isNotNull())
     assert {(r.golden_id, r.qid, r.status) for r in got.collect()} == {("degree", "Q1", "unique"), ("comma", "Q2", "unique"), ("wide", "Q3", "unique")}
+
+
+def test_every_way_to_a_candidate(spark, tmp_path):
+    items = [
+        ("Q1", "Old Mill", None, 10.0, 20.06, 20, None), ("Q2", "Other", None, 10.0, 20.0, 3, None), ("Q3", "Elsewhere", "Xana Fôo", 50.0, 60.0, 40, None),
+        ("Q4", "Numbered", None, -70.0, 5.0, 9, "700"), ("Q5", "Part", None, -70.0, 5.0, 9, "700-001"), ("Q6", "Lost", None, None, None, 50, None), ("Q7", "Far off", None, 10.0, 20.08, 20, None),
+    ]
+    rows = [
+        ("near", "OLD MILL", "", "10.0", "20.0", "5", None), ("name", "Nothing", "none such|xana foo", None, None, "5", None),
+        ("number", "Unheard", "", None, None, "5", "700bis"), ("unplaced", "Lost", "", "10.0", "170.0", "5", None), ("nobody", "Nowhere", "", "80.0", "170.0", "5", None),
+    ]
+    got = {(r.golden_id, r.qid, r.found_by, r.name_match, r.status, r.km is None) for r in q40_resolver_candidates(spark, tables(spark, tmp_path, items, rows)).collect()}
+    assert got == {
+        # 6.6 km with a tolerance of 5 is within 1.5 tolerances, 8.8 km is not.
+        ("near", "Q1", "name", True, "unique", False), ("near", "Q2", "position", False, "near", False),
+        ("name", "Q3", "name", False, "far", True), ("number", "Q4", "whs", False, "far", True), ("unplaced", "Q6", "name", True, "far", True),
+        ("nobody", None, None, None, "none", True),
+    }

@@ -9,11 +9,13 @@ from ..functions import geo, identity
 from ..functions.stats import cohen_kappa, kendall_tau
 from ..functions.text import bad_name, fold, short_name
 from ..functions.typed import decimal, tolerance_km
+from ..operators.candidates import assemble, heritage_id
 from ..operators.latest import latest_rows
 from ..operators.product import best_over_keys, content_digest, gap_sentence, hash_sample, last_write, missing_kinds, months_filled, print_quota, print_selection
+from ..operators.resolver import resolver_candidates
 from ..operators.spatial import points_near_points
 from ..operators.tiling import TileRule, gap_windows, tile_partition
-from ..runtime import table
+from ..runtime import Stored, table
 from .admission_queries import CANDIDATES, TYPED, candidates, sql_qid, sql_tier
 from .place_queries import PLACES, places
 
@@ -114,14 +116,10 @@ def q39_hash_sample(spark: SparkSession, d: str) -> DataFrame:
 def q40_resolver_status(spark: SparkSession, d: str) -> DataFrame:
     """Candidates near a holdout row: unique or ambiguous among the well cited, near for the others.
 
-    As its SQL states: numbers must be typed plainly. ``q40_resolver_candidates`` reads the other spellings too.
+    As its SQL states: plainly typed numbers, one tolerance, no search by name or number. ``q40_resolver_candidates`` is the whole operator.
     """
     h = table(spark, d, "h1").select("golden_id", F.expr("try_cast(lat as double)").alias("hla"), F.expr("try_cast(lon as double)").alias("hlo"), F.coalesce(F.expr("try_cast(tol_km as double)"), F.lit(5.0)).alias("tol")).distinct()
     c = candidates(spark, d).select("qid", "sitelinks", "lat", "lon")
-    return _resolver_status(h, c)
-
-
-def _resolver_status(h: DataFrame, c: DataFrame) -> DataFrame:
     near = points_near_points(h, c, F.col("tol"), 200.0, ("hla", "hlo"), ("lat", "lon"))
     strong = near.groupBy("golden_id").agg(F.count_if(F.col("sitelinks") >= 15).alias("strong"))
     status = F.when(F.col("sitelinks") < 15, "near").when(F.col("strong") == 1, "unique").otherwise("ambiguous")
@@ -129,9 +127,26 @@ def _resolver_status(h: DataFrame, c: DataFrame) -> DataFrame:
 
 
 def q40_resolver_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """``q40_resolver_status`` with coordinates and tolerances read as people type them."""
-    h = table(spark, d, "h1").select("golden_id", decimal("lat").alias("hla"), decimal("lon").alias("hlo"), tolerance_km("tol_km", 5.0).alias("tol")).distinct()
-    return _resolver_status(h, candidates(spark, d).select("qid", "sitelinks", "lat", "lon"))
+    """Candidates of every holdout row by World Heritage number, by any name or alias, and within 1.5 tolerances."""
+
+    def folded(names: DataFrame) -> DataFrame:
+        return names.where("trim(name) <> ''").withColumn("name", fold("name")).where("name <> ''").distinct()
+
+    def numbered(df: DataFrame, key: str) -> DataFrame:
+        """Suffixes of one property dropped; a component is no whole property."""
+        number = F.regexp_replace(heritage_id(F.col("whs"), F.lit(True)), "(bis|ter|quater)$", "")
+        return df.select(key, number.alias("number")).where("number is not null").distinct()
+
+    h = table(spark, d, "h1").withColumn("golden_id", identity.squeeze("golden_id")).where("golden_id is not null")
+    positions = h.select("golden_id", decimal("lat").alias("hla"), decimal("lon").alias("hlo"), tolerance_km("tol_km", 5.0).alias("tol")).distinct()
+    typed = F.concat(F.array("expected_name"), F.split(F.coalesce("aliases", F.lit("")), r"\|"))
+    names = folded(h.select("golden_id", F.explode(typed).alias("name")))
+    a = table(spark, d, "admit").withColumn("qid", identity.qid("qid")).where("qid is not null")
+    item_names = folded(a.select("qid", F.explode(F.array("label_en", "label_loc")).alias("name")))
+    items = assemble(table(spark, d, "admit"), table(spark, d, "whs_properties")).select("qid", "lat", "lon", "sitelinks", fold(F.coalesce("label_en", "label_loc")).alias("label"))
+    items = Stored(items, "items").df
+    out = resolver_candidates(Stored(positions, "positions").df, Stored(names, "names").df, numbered(h.withColumnRenamed("whs_id", "whs"), "golden_id"), items, item_names, numbered(a, "qid"), 15)
+    return out.withColumn("km", F.round("km", 4))
 
 
 def q41_projections(spark: SparkSession, d: str) -> DataFrame:
