@@ -83,11 +83,19 @@ def q34_lost_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q35_bad_names(spark: SparkSession, d: str) -> DataFrame:
-    """First lines of documents that would fail as names."""
+    """First lines of documents that would fail as names, as its SQL states; ``q35_bad_place_names`` tests the names of places."""
     t = table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("name"))
     return t.where(bad_name(F.col("name"))).select("doc_id")
 
 
+def q35_bad_place_names(spark: SparkSession, d: str) -> DataFrame:
+    """Names of all rows of places, English, local and every alias, that fail as names."""
+    one = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).alias("name"))
+    aliases = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.struct(F.lit("aliases").alias("field"), a.alias("name")))
+    p = table(spark, d, "place").select(identity.place_id("place_id").alias("place_id"), F.explode(F.concat(F.array(one("name_en"), one("name_local")), aliases)).alias("n"))
+    return p.select("place_id", "n.field", "n.name").where(bad_name(F.col("name"))).distinct()
+
+
 def q36_fold_names(spark: SparkSession, d: str) -> DataFrame:
     return places(spark, d).where("name_en is not null").select("place_id", fold("name_en").alias("folded"))
 
@@ -229,7 +237,7 @@ def q51_last_write(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    q28_monthly_views, q29_best_over_keys, q30_key_conflicts, q31_churn, q32_count_gate, q33_coverage_floor, q34_lost_ids, q35_bad_names, q36_fold_names, q37_short_name,
+    q28_monthly_views, q29_best_over_keys, q30_key_conflicts, q31_churn, q32_count_gate, q33_coverage_floor, q34_lost_ids, q35_bad_names, q35_bad_place_names, q36_fold_names, q37_short_name,
     q38_shared_evidence, q39_hash_sample, q40_resolver_status, q40_resolver_candidates, q41_projections, q42_tile_partition, q43_widest_gap, q44_print_quota, q44_print_selection, q45_gap_sentence,
     q46_cohen_kappa, q47_kendall_tau, q48_json_props, q49_grouped_names, q50_content_digest, q51_last_write,
 )}
