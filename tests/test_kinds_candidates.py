@@ -1,9 +1,10 @@
 import math
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from waymark.functions.stats import cohen_kappa, kendall_tau, noisy_or, wilson_lower
-from waymark.functions.text import bad_name, base_name, core_words, fold, fold_text, short_name
+from waymark.functions.text import bad_name, base_name, core_words, fold, folded, short_name
 from waymark.operators.candidates import admit, assemble, classified, heritage_id, heritage_number, whole_property
 from waymark.operators.kinds import KindRule, PairRule, bucket, fire, kind_distribution, select_kinds
 from waymark.operators.product import gap_sentence, hash_sample, missing_kinds, months_filled, print_quota, print_selection
@@ -45,7 +46,7 @@ def test_statistics(spark):
 
 
 def test_names(spark):
-    assert fold_text("  Straße İzmir ") == "strasse izmir" and fold_text(None) is None
+    assert folded(pd.Series(["  Straße İzmir ", None, "ABC", "ﬁn"])).tolist() == ["strasse izmir", None, "abc", "fin"]
     long = "A very long official title of a property that goes on and on: Part Two"
     data = [("Louvre,  The", None), (long, ["x" * 70, "Short one", "Longer alias"]), (long, None), ("y" * 70, None), ("word " * 20, []), (None, None)]
     rows = spark.createDataFrame([(i, *d) for i, d in enumerate(data)], "i int, name string, aliases array<string>")
@@ -53,8 +54,10 @@ def test_names(spark):
     assert got[:4] == ["The Louvre", "Short one", long.split(": ")[0], "y" * 60] and len(got[4]) <= 60 and got[4].endswith("word") and got[5] is None
     f = spark.createDataFrame([("City of Valencia",), ("Madrid city",), ("The City",), ("Mount Kilimanjaro National Park",), (None,)], "n string").select(base_name(fold("n")), core_words(fold("n")), bad_name(F.col("n"))).collect()
     assert [r[0] for r in f] == ["valencia", "madrid", "the city", "mount kilimanjaro national park", None] and f[3][1] == ["kilimanjaro"]
-    bad = spark.createDataFrame([("Q42",), ("<b>",), ("a&amp;b",), ("ok",), ("x" * 61,)], "n string").select(bad_name(F.col("n"))).collect()
-    assert [r[0] for r in bad] == [True, True, True, False, True]
+    wrong = ["Q42", "P31", "L12", "<b>", "a&amp;b", "&x1;", "BogotÂ°", "a\x85b", "Ã©", "a\ufffd", "x" * 61, "a\nb"]
+    fine = ["ok", "Q42 Tower", "R&D; x".replace(";", ""), "Ürümqi", "São Tomé", "[x]", "Q4x"]
+    bad = spark.createDataFrame([(n,) for n in wrong + fine], "n string").select(bad_name(F.col("n"))).collect()
+    assert [r[0] for r in bad] == [True] * len(wrong) + [False] * len(fine)
 
 
 def extract(**kw):

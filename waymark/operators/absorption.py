@@ -13,7 +13,6 @@ from .spatial import points_near_points
 
 # Distances in km, and the sitelinks below which a property's record is a stub.
 COLOCATED_KM, SEAT_KM, RUINS_KM, STUB = 5.0, 10.0, 25.0, 15
-NESTED = ["located in", "ruins within", "serial component"]
 
 
 def _side(df: DataFrame, tag: str) -> DataFrame:

@@ -83,12 +83,6 @@ def q34_lost_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q35_bad_names(spark: SparkSession, d: str) -> DataFrame:
-    """First lines of documents that would fail as names, as its SQL states; ``q35_bad_place_names`` tests the names of places."""
-    t = table(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("name"))
-    return t.where(bad_name(F.col("name"))).select("doc_id")
-
-
-def q35_bad_place_names(spark: SparkSession, d: str) -> DataFrame:
     """Names of all rows of places, English, local and every alias, that fail as names."""
     one = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).alias("name"))
     aliases = F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.struct(F.lit("aliases").alias("field"), a.alias("name")))
@@ -237,7 +231,7 @@ def q51_last_write(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    q28_monthly_views, q29_best_over_keys, q30_key_conflicts, q31_churn, q32_count_gate, q33_coverage_floor, q34_lost_ids, q35_bad_names, q35_bad_place_names, q36_fold_names, q37_short_name,
+    q28_monthly_views, q29_best_over_keys, q30_key_conflicts, q31_churn, q32_count_gate, q33_coverage_floor, q34_lost_ids, q35_bad_names, q36_fold_names, q37_short_name,
     q38_shared_evidence, q39_hash_sample, q40_resolver_status, q40_resolver_candidates, q41_projections, q42_tile_partition, q43_widest_gap, q44_print_quota, q44_print_selection, q45_gap_sentence,
     q46_cohen_kappa, q47_kendall_tau, q48_json_props, q49_grouped_names, q50_content_digest, q51_last_write,
 )}
@@ -281,8 +275,10 @@ SQL = {
         SELECT s.iso3, coalesce(n.n, 0) n FROM s LEFT JOIN n USING (iso3) WHERE s.iso3 IS NOT NULL AND coalesce(n.n, 0) < 30""",
     "q34_lost_ids": "SELECT DISTINCT lower(trim(place_id)) place_id FROM place_build WHERE trim(place_id) <> '' AND lower(trim(place_id)) NOT IN (SELECT lower(trim(place_id)) FROM place)",
     "q35_bad_names": r"""
-        SELECT doc_id FROM (SELECT doc_id, split_part(text, chr(10), 1) name FROM documents)
-        WHERE regexp_matches(name, '^Q[0-9]+$|[<>{}\[\]|]|&[a-zA-Z]+;|&#[0-9]+;|[\x00-\x1f]|\x{FFFD}|Ã.|â€') OR length(name) > 60""",
+        WITH n AS (SELECT lower(trim(place_id)) place_id, 'name_en' field, name_en AS name FROM place UNION ALL SELECT lower(trim(place_id)), 'name_local', name_local FROM place
+                   UNION ALL SELECT lower(trim(place_id)), 'aliases', unnest(aliases) FROM place)
+        SELECT DISTINCT place_id, field, name FROM n
+        WHERE regexp_matches(name, '^[QPL]\p{Nd}+$|<|>|&#?[\p{L}\p{N}_]+;|[\x00-\x1f\x7f-\x{9f}\x{FFFD}]|Ã.|Â.', 's') OR length(name) > 60""",
     "q36_fold_names": f"WITH {PLACES} SELECT place_id, trim(replace(lower(strip_accents(name_en)), 'ß', 'ss')) folded FROM pl WHERE name_en IS NOT NULL",
     "q37_short_name": r"""
         WITH h AS (SELECT DISTINCT golden_id, concat_ws(': ', expected_name, note) name, string_split(aliases, '|') aliases FROM h1),
