@@ -75,6 +75,17 @@ def test_top_n(spark):
             own = sorted((-d[1], d[2]) for d in data if d[0] == g and d[2] and d[1] is not None and d[1] == d[1])
             want |= {(g, k, i + 1) for i, (_, k) in enumerate(own[:n])}
         assert got == want
+    # Whole numbers beyond the exact range of doubles, the least one included, and groups that span several Arrow batches.
+    big = spark.createDataFrame([("g", 2**53, "a"), ("g", 2**53 + 1, "b"), ("h", -(2**63), "c"), ("h", -(2**63), "b"), ("h", -(2**63) + 1, "d")], "g string, v long, k string")
+    assert {(x.g, x.k, x.rank) for x in top_n_per_group(big.coalesce(1), ["g"], "v", "k", 1).collect()} == {("g", "b", 1), ("h", "d", 1)}
+    exact = big.withColumn("v", F.col("v").cast("decimal(30,0)") * 1_000_000_000)
+    assert {(x.g, x.k) for x in top_n_per_group(exact.coalesce(1), ["g"], "v", "k", 2).collect()} == {("g", "a"), ("g", "b"), ("h", "b"), ("h", "d")}
+    many = spark.range(60_000).select((F.col("id") % 20_000).alias("g"), (F.col("id") * 7919 % 1009).alias("v"), F.col("id").alias("k")).union(spark.range(30_000).select(F.lit(-1).cast("long"), F.col("id") % 13, -F.col("id")))
+    got = {(x.g, x.k, x.rank) for x in top_n_per_group(many, ["g"], "v", "k", 2).collect()}
+    own: dict = {}
+    for x in many.collect():
+        own.setdefault(x.g, []).append((-x.v, x.k))
+    assert got == {(g, k, i + 1) for g, xs in own.items() for i, (_, k) in enumerate(sorted(xs)[:2])}
     assert top_n_per_group(df, ["g"], "v", "k", 0).count() == 0
     assert top_n_per_group(df.where("false"), ["g"], "v", "k", 3).count() == 0
 

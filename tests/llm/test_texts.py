@@ -19,6 +19,7 @@ def passage(r, n):
 
 def test_plain_text():
     assert words("The <b>Bür­ger</b>&nbsp;K<!-- x -->oln: ＡＢＣ, ____!") == ["the", "burger", "k", "oln", "abc", "____"]
+    assert words(f"a <a href='{'q ' * 900}'>b</a> 3 < 4 <!-- c <i> --> d <!-- open") == ["a", "b", "3", "4", "d", "open"]
     assert words("BÃ¼rger") == ["burger"] and plain("") == "" and words("") == []
 
 
@@ -77,11 +78,12 @@ def test_leaked_items(spark):
     d = spark.createDataFrame([(*x, "clash") for x in docs], "doc_id long, text string, item_id string").drop("item_id")
     got = {(x.doc_id, x.item_id) for x in leaked_items(d, items, "doc_id", "text", "item_id", "text").collect()}
     assert got == {(1, 0), (3, 2), (7, 3)}
-    assert {(x.doc_id, x.item_id) for x in leaked_items(d, items, "doc_id", "text", "item_id", "text", block=2).collect()} == got
+    # Several search tables give the same, with the stock sentences of all items.
+    assert {(x.doc_id, x.item_id) for x in leaked_items(d, items, "doc_id", "text", "item_id", "text", block_words=50).collect()} == got
     assert leaked_items(d.where("false"), items, "doc_id", "text", "item_id", "text").count() == 0
     assert leaked_items(d, items.where("false"), "doc_id", "text", "item_id", "text").count() == 0
-    common = stock_sentences([f"{' '.join(t)}. {stock}" for t in texts])
-    assert item_words(f"One two. {stock}", common) == ["one", "two"]
+    common = stock_sentences(items, "text")
+    assert common == {tuple(words(stock))} and item_words(f"One two. {stock}", common) == ["one", "two"]
 
 
 @pytest.mark.parametrize("capacity", [1, 7, 64])
@@ -99,7 +101,9 @@ def test_pack_histogram(capacity):
         need, bins = int((h * np.arange(capacity + 1)).sum()), sum(n for _, n in plan)
         assert bins <= max(1, 1.12 * need / capacity) + 1
     assert pack_histogram(np.zeros(capacity + 1, dtype=int)) == []
-    assert (patterns(7, np.arange(1, 8)).sum(axis=1) == 7).all()
+    table = patterns(7, np.arange(1, 8))
+    assert {tuple(x) for x in table.tolist()} == {(7, 0, 0), (6, 1, 0), (5, 2, 0), (4, 3, 0), (5, 1, 1), (4, 2, 1), (3, 3, 1), (3, 2, 2)} and len(table) == 8
+    assert (patterns(5000, np.arange(1, 5001)).sum(axis=1) == 5000).all() and len(patterns(5000, np.arange(1, 5001), 10_000)) < 20_000
     assert sum(n for _, n in best_fit(np.array([0, 3, 0, 1]))) == 2
 
 

@@ -22,6 +22,8 @@ from ..runtime import Stored, broadcast_if_small
 CAPACITY = 1024
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 ITEMS_PER_BUCKET = 200_000
+#: Patterns of three lengths that are fitted at most, and rows of a plan up to which it is broadcast (some 40 bytes each).
+PATTERNS, BROADCAST_ROWS = 400_000, 500_000
 # Fixed value: the pre-tokenisation pattern that belongs to the byte-level vocabularies.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -61,23 +63,29 @@ def token_counts(documents: DataFrame, key: str, text: str, tokenizer: str = TOK
     return slim.mapInPandas(count, schema)
 
 
-def patterns(capacity: int, lengths: np.ndarray) -> np.ndarray:
-    """All multisets of up to three present lengths that sum to ``capacity``: rows of three indices, 0 for none."""
+def patterns(capacity: int, lengths: np.ndarray, most: int = PATTERNS) -> np.ndarray:
+    """Multisets of up to three present lengths that sum to ``capacity``: rows of three indices, 0 for none, greatest first.
+
+    All of one and two lengths, and all of three while these are ``most`` at most; beyond that those that begin with every
+    so many-th length, so that about ``most`` remain and memory on the driver is bounded at any capacity.
+    What patterns leave over is packed by ``best_fit``; nothing depends on them but the fit.
+    """
     present = np.zeros(capacity + 1, dtype=bool)
     present[lengths] = True
-    out = []
-    for a in sorted(lengths, reverse=True):
-        rest = capacity - a
-        if rest == 0:
-            out.append((a, 0, 0))
-            continue
-        b = np.arange(min(a, rest), 0, -1)
-        b = b[present[b]]
-        c = rest - b
-        keep = (c <= b) & (c >= 0)
-        keep &= present[c] | (c == 0)
-        out += [(a, int(x), int(y)) for x, y in zip(b[keep], c[keep])]
-    return np.array(out, dtype=np.int64).reshape(-1, 3)
+    present[0] = False
+    own = np.flatnonzero(present)
+    some = own[present[capacity - own] & (2 * own >= capacity) & (own < capacity)]
+    two = np.stack([some, capacity - some, 0 * some], axis=1)
+    one = np.array([[capacity, 0, 0]])[: int(present[capacity])]
+    step = max(1, math.ceil(len(own) ** 2 / (12 * most)))
+    three = [np.zeros((0, 3), dtype=np.int64)]
+    for a in own[::-1][::step]:
+        b = own[: np.searchsorted(own, min(a, capacity - a - 1), side="right")]
+        c = capacity - a - b
+        b = b[(c >= 1) & (c <= b)]
+        b = b[present[capacity - a - b]]
+        three.append(np.stack([np.full_like(b, a), b, capacity - a - b], axis=1))
+    return np.concatenate([one, two, *three]).astype(np.int64)
 
 
 def fit_counts(table: np.ndarray, histogram: np.ndarray, steps: int = 400) -> np.ndarray:
@@ -186,9 +194,9 @@ def pack_texts(counts: DataFrame, key: str, capacity: int = CAPACITY) -> DataFra
     * Repeated rows are packed as often as they occur; equal lengths are told apart by key, then piece, so the plan and the
       sequences' fill do not depend on partitions. Null keys are packed like others. Empty input, empty result.
 
-    The driver sees the histogram alone (``capacity`` rows at most) and makes a plan of a few rows a length, which is broadcast
-    while it is small and joined by shuffle otherwise.
-    Ranks within a length are counted in hashed buckets, so a length that a third of all texts share is never one task.
+    The driver sees the histogram alone (``capacity`` rows at most) and makes a plan of a few rows a length. Ranks within a
+    length are counted in hashed buckets, and plan and ranks are joined on length and run of ``ITEMS_PER_BUCKET`` ranks, so a
+    length that a third of all texts share is never one task. A plan of up to ``BROADCAST_ROWS`` rows is broadcast.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -211,6 +219,8 @@ def pack_texts(counts: DataFrame, key: str, capacity: int = CAPACITY) -> DataFra
         sequence += repeats
     spark = counts.sparkSession
     plan = spark.createDataFrame(slots, "_l int, _from bigint, _to bigint, _shift bigint, position int")
+    run = lambda c: F.floor(c / F.lit(ITEMS_PER_BUCKET)).cast("bigint")
+    plan = plan.withColumn("_run", F.explode(F.sequence(run(F.col("_from")), run(F.col("_to") - 1))))
     buckets = max(1, int(histogram.sum()) // ITEMS_PER_BUCKET)
     pieces = pieces.withColumn("_bucket", F.pmod(F.xxhash64("_key", "_piece"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("_l").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -220,7 +230,9 @@ def pack_texts(counts: DataFrame, key: str, capacity: int = CAPACITY) -> DataFra
     ranked = pieces.withColumn("_r", F.row_number().over(own) - 1)
     if buckets > 1:
         ranked = ranked.join(broadcast_if_small(offsets), (F.col("_len") == F.col("_ol")) & (F.col("_bucket") == F.col("_ob"))).withColumn("_r", F.col("_r") + F.col("_offset"))
-    placed = ranked.join(broadcast_if_small(plan), (F.col("_len") == F.col("_l")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to")))
+    n_plan = len(slots) + int(histogram.sum()) // ITEMS_PER_BUCKET
+    on = (F.col("_len") == F.col("_l")) & (run(F.col("_r")) == F.col("_run")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to"))
+    placed = ranked.join(F.broadcast(plan) if n_plan <= BROADCAST_ROWS else plan, on)
     out = placed.select((F.col("_r") + F.col("_shift")).alias("sequence"), "position", F.col("_key").alias(key), F.col("_piece").alias("piece"), (F.col("_piece").cast("bigint") * c).alias("start"), F.col("_len").alias("n_tokens"))
     nothing = base.where("_n = 0").select(F.lit(None).cast("bigint").alias("sequence"), F.lit(None).cast("int").alias("position"), F.col("_key").alias(key), F.lit(0).alias("piece"), F.lit(0).cast("bigint").alias("start"), F.lit(0).alias("n_tokens"))
     return out.unionByName(nothing)

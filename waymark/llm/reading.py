@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import _TAG, repair
+from .text import repair, untagged
 
 GRADES = 5
 #: Most labelled documents that the models are fitted on; chosen by the smallest hash of the document's id.
@@ -29,7 +29,7 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+|[,;:(]")
 def sentences(text: str) -> list[str]:
     if "<" in text:
         text = re.sub(r"</(?:p|h\d|li|div)>|<br ?/?>", "\n", text)
-        text = _TAG.sub(" ", text)
+        text = untagged(text)
     if "&" in text:
         import html
 
