@@ -38,16 +38,17 @@ SPREAD3 = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00
 
 
 def with_morton3(df: DataFrame, name: str, x: str, y: str, z: str) -> DataFrame:
-    """Adds the Z-order code of three integer cell coordinates below 2**21.
+    """Adds the Z-order code of three integer cell coordinates below 2**21; 0 where one is null.
 
-    Each spreading step is a projection of its own: as one expression the steps would double the tree five times.
+    Each spreading step is a projection of its own: as one expression the steps would double the tree five times. For the
+    same reason the code is never null, so that no test for nulls is inferred and pushed through the steps.
     """
     tmp = {f"_m{i}": F.col(c) for i, c in enumerate((x, y, z))}
     df = df.withColumns(tmp)
     for shift, mask in SPREAD3:
         df = df.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(F.col(c), shift)).bitwiseAND(F.lit(mask)) for c in tmp})
     code = F.col("_m0").bitwiseOR(F.shiftleft(F.col("_m1"), 1)).bitwiseOR(F.shiftleft(F.col("_m2"), 2))
-    return df.withColumn(name, code).drop(*tmp)
+    return df.withColumn(name, F.coalesce(code, F.lit(0).cast("bigint"))).drop(*tmp)
 
 
 def equal_earth_mm(lat: Column, lon: Column, width_mm: float = 3000.0) -> tuple[Column, Column]:

@@ -20,8 +20,8 @@ def _side(df: DataFrame, tag: str) -> DataFrame:
 
 
 def _near(a: DataFrame, b: DataFrame, km: float, on: Column) -> DataFrame:
-    same = (F.col("p_iso3") == F.col("a_iso3")) & (F.col("p_qid") != F.col("a_qid"))
-    return points_near_points(_side(a, "p"), _side(b, "a"), km, km, ("p_lat", "p_lon"), ("a_lat", "a_lon"), extra=same & on)
+    other = F.col("p_qid") != F.col("a_qid")
+    return points_near_points(_side(a, "p"), _side(b, "a"), km, ("p_lat", "p_lon"), ("a_lat", "a_lon"), other & on, [("p_iso3", "a_iso3")])
 
 
 def _take_first(pairs: DataFrame, child: str, parent: str) -> DataFrame:

@@ -10,19 +10,12 @@ from .spatial import points_near_points
 
 #: A candidate is near up to this many tolerances away.
 SLACK = 1.5
-RADIUS_CLASSES = (15.0, 60.0, 300.0, 20_100.0)
 
 
 def within_reach(positions: DataFrame, items: DataFrame, slack: float = SLACK) -> DataFrame:
-    """``(golden_id, qid)`` at most ``slack`` tolerances apart, by classes of radius so that cells fit the discs."""
-    where = positions.select("golden_id", "hla", "hlo", F.least(F.col("tol") * slack, F.lit(RADIUS_CLASSES[-1])).alias("reach"))
-    target = items.select("qid", "lat", "lon")
-    out, low = None, 0.0
-    for top in RADIUS_CLASSES:
-        mine = where.where((F.col("reach") > low) & (F.col("reach") <= top))
-        part = points_near_points(mine, target, F.col("reach"), top, ("hla", "hlo"), ("lat", "lon")).select("golden_id", "qid")
-        out, low = part if out is None else out.union(part), top
-    return out
+    """``(golden_id, qid)`` at most ``slack`` tolerances apart."""
+    where = positions.select("golden_id", "hla", "hlo", (F.col("tol") * slack).alias("reach"))
+    return points_near_points(where, items.select("qid", "lat", "lon"), F.col("reach"), ("hla", "hlo"), ("lat", "lon")).select("golden_id", "qid")
 
 
 def resolver_candidates(positions: DataFrame, names: DataFrame, numbers: DataFrame, items: DataFrame, item_names: DataFrame, item_numbers: DataFrame, strong: int, slack: float = SLACK) -> DataFrame:

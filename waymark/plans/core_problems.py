@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import identity
+from ..functions.geo import located
 from ..operators.latest import current_places
 from ..operators.snapshots import snapshot_changes
-from ..operators.spatial import near_pairs
+from ..operators.spatial import near_pairs, points_in_regions
 from ..runtime import table
 
 NEAR_KM = 2.0
@@ -27,7 +29,16 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot_changes(rows, "build_no", "place_id", "loaded_at", ["tier"])
 
 
-QUERIES = {"p2_found": p2_found, "p5_found": p5_found}
+def p2_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Places inside the lozenge of one degree north and south and a degree and a half east and west of every Icon."""
+    places = current_places(table(spark, folder, "place"), "lat", "lon", "tier").withColumn("tier", identity.tier("tier"))
+    corner = lambda la, lo: F.struct((F.col("lat") + la).alias("lat"), (F.col("lon") + lo).alias("lon"))
+    icons = places.where((F.col("tier") == "Icon") & located(F.col("lat"), F.col("lon")))
+    regions = icons.select(F.col("place_id").alias("region_id"), F.array(corner(1.0, 0.0), corner(0.0, 1.5), corner(-1.0, 0.0), corner(0.0, -1.5)).alias("ring"))
+    return points_in_regions(places.select("place_id", "lat", "lon"), regions, "lat", "lon", "ring").select("region_id", "place_id")
+
+
+QUERIES = {"p2_found": p2_found, "p2_regions": p2_regions, "p5_found": p5_found}
 
 SQL = {
     "p2_found": """
@@ -42,6 +53,13 @@ SQL = {
         FROM p a JOIN p b ON a.place_id < b.place_id AND b.lat BETWEEN a.lat - 0.02 AND a.lat + 0.02
         WHERE 2 * 6371.0088 * asin(least(1.0, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2)
               + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) <= 2.0""",
+    "p2_regions": """
+        WITH c AS (SELECT lower(trim(place_id)) place_id, arg_max({'s': status, 'la': lat, 'lo': lon, 't': tier}, loaded_at) r FROM place GROUP BY 1),
+        p AS (
+          SELECT place_id, r.la lat, r.lo lon, lower(trim(r.t)) tier FROM c
+          WHERE coalesce(lower(trim(r.s)) <> 'retired', true) AND r.la IS NOT NULL AND r.lo IS NOT NULL
+            AND NOT isnan(r.la) AND NOT isnan(r.lo) AND abs(r.la) <= 90 AND abs(r.lo) <= 180 AND NOT (r.la = 0 AND r.lo = 0))
+        SELECT i.place_id region_id, p.place_id FROM p i JOIN p ON i.tier = 'icon' AND abs(p.lat - i.lat) + abs(p.lon - i.lon) / 1.5 < 1.0""",
     "p5_found": """
         WITH r AS (
           SELECT build_no, lower(trim(place_id)) place_id,

@@ -34,8 +34,8 @@ def q15_neighbours(spark: SparkSession, d: str) -> DataFrame:
 def _pairs(p: DataFrame, km: float, same: str) -> DataFrame:
     a = p.select(F.col("place_id").alias("place_id_a"), F.col("iso3").alias("ia"), F.col(same).alias("sa"), F.col("lat").alias("la"), F.col("lon").alias("oa"))
     b = p.select(F.col("place_id").alias("place_id_b"), F.col("iso3").alias("ib"), F.col(same).alias("sb"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
-    on = (F.col("ia") == F.col("ib")) & (F.col("sa") == F.col("sb")) & (F.col("place_id_a") < F.col("place_id_b"))
-    return points_near_points(a, b, km, km, ("la", "oa"), ("lb", "ob"), extra=on).select("place_id_a", "place_id_b", F.round("distance_km", 4).alias("km"))
+    on = F.col("place_id_a") < F.col("place_id_b")
+    return points_near_points(a, b, km, ("la", "oa"), ("lb", "ob"), on, [("ia", "ib"), ("sa", "sb")]).select("place_id_a", "place_id_b", F.round("distance_km", 4).alias("km"))
 
 
 def q16_band_join(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +43,7 @@ def q16_band_join(spark: SparkSession, d: str) -> DataFrame:
     p = places(spark, d).where("iso3 is not null")
     a = p.where("type = 'settlement'").select(F.col("place_id").alias("settlement"), F.col("iso3").alias("ia"), F.col("lat").alias("la"), F.col("lon").alias("oa"))
     b = p.where("type = 'site'").select(F.col("place_id").alias("site"), F.col("iso3").alias("ib"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
-    out = points_near_points(a, b, 5.0, 5.0, ("la", "oa"), ("lb", "ob"), extra=F.col("ia") == F.col("ib"))
+    out = points_near_points(a, b, 5.0, ("la", "oa"), ("lb", "ob"), same=[("ia", "ib")])
     return out.select("settlement", "site", F.round("distance_km", 4).alias("km"))
 
 
@@ -51,7 +51,7 @@ def q17_big_neighbour(spark: SparkSession, d: str) -> DataFrame:
     """Candidates with another candidate of 50,000 inhabitants or more within 10 km."""
     c = candidates(spark, d).select("qid", "lat", "lon", "population")
     big = c.where("population >= 50000").select(F.col("qid").alias("big"), F.col("lat").alias("bl"), F.col("lon").alias("bo"))
-    near = points_near_points(c.drop("population"), big, 10.0, 10.0, ("lat", "lon"), ("bl", "bo"), extra=F.col("qid") != F.col("big"))
+    near = points_near_points(c.drop("population"), big, 10.0, ("lat", "lon"), ("bl", "bo"), extra=F.col("qid") != F.col("big"))
     return near.select("qid").distinct()
 
 
@@ -68,7 +68,7 @@ def q19_greedy_assignment(spark: SparkSession, d: str) -> DataFrame:
     p = places(spark, d).where("iso3 is not null")
     a = p.where("type = 'settlement'").select(F.col("place_id").alias("settlement"), F.col("iso3").alias("ia"), F.col("lat").alias("la"), F.col("lon").alias("oa"))
     b = p.where("type = 'area'").select(F.col("place_id").alias("area"), F.col("iso3").alias("ib"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
-    pairs = points_near_points(a, b, 60.0, 60.0, ("la", "oa"), ("lb", "ob"), extra=F.col("ia") == F.col("ib"))
+    pairs = points_near_points(a, b, 60.0, ("la", "oa"), ("lb", "ob"), same=[("ia", "ib")])
     return greedy_assignment(pairs.select("settlement", "area", F.round("distance_km", 6).alias("km")), "settlement", "area", "km")
 
 
@@ -84,8 +84,7 @@ def q21_star_merge(spark: SparkSession, d: str) -> DataFrame:
     c = Stored(c, "named").df
     a = c.select(F.col("qid").alias("a"), F.col("iso3").alias("ia"), F.col("base").alias("na"), F.col("lat").alias("la"), F.col("lon").alias("oa"))
     b = c.select(F.col("qid").alias("b"), F.col("iso3").alias("ib"), F.col("base").alias("nb"), F.col("lat").alias("lb"), F.col("lon").alias("ob"))
-    on = (F.col("ia") == F.col("ib")) & (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
-    edges = points_near_points(a, b, 5.0, 5.0, ("la", "oa"), ("lb", "ob"), extra=on).select("a", "b")
+    edges = points_near_points(a, b, 5.0, ("la", "oa"), ("lb", "ob"), F.col("a") < F.col("b"), [("ia", "ib"), ("na", "nb")]).select("a", "b")
     stars = star_clusters(c.select(F.col("qid").alias("id"), (-F.col("sitelinks")).alias("priority")), edges)
     return stars.where("id <> center").select(F.col("id").alias("qid"), F.col("center").alias("kept"))
 

@@ -122,7 +122,7 @@ def q40_resolver_status(spark: SparkSession, d: str) -> DataFrame:
     """
     h = table(spark, d, "h1").select("golden_id", F.expr("try_cast(lat as double)").alias("hla"), F.expr("try_cast(lon as double)").alias("hlo"), F.coalesce(F.expr("try_cast(tol_km as double)"), F.lit(5.0)).alias("tol")).distinct()
     c = candidates(spark, d).select("qid", "sitelinks", "lat", "lon")
-    near = points_near_points(h, c, F.col("tol"), 200.0, ("hla", "hlo"), ("lat", "lon"))
+    near = points_near_points(h, c, F.col("tol"), ("hla", "hlo"), ("lat", "lon"))
     strong = near.groupBy("golden_id").agg(F.count_if(F.col("sitelinks") >= 15).alias("strong"))
     status = F.when(F.col("sitelinks") < 15, "near").when(F.col("strong") == 1, "unique").otherwise("ambiguous")
     return near.join(strong, "golden_id").select("golden_id", "qid", F.round("distance_km", 4).alias("km"), status.alias("status"))
