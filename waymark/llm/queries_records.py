@@ -63,7 +63,8 @@ def p3_links(spark: SparkSession, folder: str) -> DataFrame:
         "place_id", identity.country("country_iso3").alias("iso"), F.lower(identity.squeeze("type")).alias("type"), "lat", "lon", whole_number("whs_id").alias("whs"),
         F.concat(F.array("name_en", "name_local"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"),
     )
-    return link_records(records_of(table(spark, folder, "h1")), places)
+    titles = table(spark, folder, "whs_properties").select(F.trim("id_number").alias("whs"), F.col("site").alias("title")).where("whs <> ''")
+    return link_records(records_of(table(spark, folder, "h1")), places, titles)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +88,7 @@ def p6_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sample_versions(rows, "place_id", "type", "build_no", "loaded_at", ["qid"], RATES, SALT)
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p4_found": p4_found, "p6_sample": p6_sample}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p6_sample": p6_sample}
 
 _QID = r"nullif(regexp_extract(upper({0}), '(?:^|[^A-Z0-9])(Q[0-9]+)\s*$', 1), '')"
 _TIER = "CASE lower(trim({0})) WHEN 'icon' THEN 'Icon' WHEN 'major' THEN 'Major' WHEN 'notable' THEN 'Notable' WHEN 'local' THEN 'Local' END"
