@@ -45,6 +45,10 @@ def test_greedy_assignment(spark):
     df = spark.createDataFrame(pairs, "l string, r string, c int")
     assert {tuple(x) for x in greedy_assignment(df, "l", "r", "c").collect()} == want
     assert {tuple(x) for x in greedy_assignment(df, "l", "r", "c", local=0).collect()} == want
+    # A chain of falling costs, whose pairs become first one after the other, beside the rest: more rounds than any fixed number.
+    chain = [(f"c{(i + 1) // 2:02d}", f"d{i // 2:02d}", 100 - i) for i in range(24)]
+    long = spark.createDataFrame(pairs + chain, "l string, r string, c int")
+    assert {tuple(x) for x in greedy_assignment(long, "l", "r", "c", local=30).collect()} == want | set(chain[1::2])
     assert greedy_assignment(df.where("false"), "l", "r", "c").count() == 0
 
 
@@ -65,6 +69,16 @@ def test_star_clusters(spark):
                     center[j] = i
     got = {x.id: x.center for x in star_clusters(spark.createDataFrame(nodes, "id string, priority int"), spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == center
+    # A path of falling priority settles one node a round; small parts are decided by tasks, the path by as many rounds as it needs.
+    path = [(f"p{i:02d}", 100 - i) for i in range(9)] + nodes
+    steps = [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(8)] + edges
+    want = center | {f"p{i:02d}": f"p{i if i % 2 == 0 else i + 1:02d}" for i in range(9)}
+    for local in (4, 100, 10_000):
+        got = {x.id: x.center for x in star_clusters(spark.createDataFrame(path, "id string, priority int"), spark.createDataFrame(steps, "a string, b string"), local).collect()}
+        assert got == want
+    far = [(i, 1000 - i) for i in range(700)]
+    got = {x.id: x.center for x in star_clusters(spark.createDataFrame(far, "id int, priority int"), spark.createDataFrame([(i, i + 1) for i in range(699)], "a int, b int")).collect()}
+    assert all(got[i] == (i if (699 - i) % 2 == 0 else i + 1) for i in range(700))
 
 
 @pytest.mark.parametrize("n", [0, 1, 30])

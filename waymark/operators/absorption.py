@@ -46,8 +46,10 @@ def absorb(places: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     mountain; lesser ruins to a World Heritage ruin within 25 km; administrative records to their seat; sites to the place
     they lie in (twice, since a place may gain a property by absorption). Chains are followed to their end.
 
-    Rules read the property a place holds at that point: one that takes over a property's record holds the property from
-    then on. Order within a rule is by sitelinks, then QID. Every step is written, so later ones read tables.
+    A place that takes over a property's record holds the property from then on: it takes no further one, and ruins and
+    located places may come to it; but the three rules for thin, historic and protected records look at the records that held
+    one before the first of them. Order within a rule is by sitelinks, then QID. Every step is written, so later ones read
+    tables.
     """
     p = places.withColumn("core", core_words(fold("name"))).withColumn("admin", F.coalesce("admin", F.lit(False)))
     p = Stored(p, "places").df
@@ -82,10 +84,12 @@ def absorb(places: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     kind = lambda side, t: F.coalesce(F.col(f"{side}_place_type") == t, F.lit(False))
     shared = F.arrays_overlap("p_core", "a_core")
 
+    # The records that hold a property before the first of the three rules; what a parent takes over is not taken on.
+    holders = Stored(left(p.where(whole)), "holders").df
+
     def take(parents: DataFrame, km: float, on: Column, reason: str) -> None:
         nonlocal p
-        held = left(p.where(whole_property(F.col("whs"))))
-        step = note(_take_first(_near(parents, held, km, on), "a_qid", "p_qid"), reason)
+        step = note(_take_first(_near(parents, left(holders), km, on), "a_qid", "p_qid"), reason)
         # The parent holds the property from now on.
         got = step.join(p.select("qid", F.col("whs").alias("_w")), "qid").select(F.col("parent").alias("qid"), "_w")
         p = Stored(p.join(got, "qid", "left").withColumn("whs", F.coalesce("_w", "whs")).drop("_w"), "places").df

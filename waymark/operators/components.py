@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..runtime import Stored
 
-MAX_ROUNDS = 60
-
 
 def _print(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(20,0)"))).first()
@@ -30,7 +28,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     before = _print(now.df)
     if before[0] == 0:
         return now.df.select(F.col("v").alias("node"), F.col("m").alias("root"))
-    for _ in range(MAX_ROUNDS):
+    while True:
         both = now.df.union(now.df.select(F.col("m").alias("v"), F.col("v").alias("m")))
         least = both.groupBy(F.col("v").alias("u")).agg(F.min(F.least("v", "m")).alias("t"))
         # Large star: greater neighbours of u hang on the least node known to u.
@@ -44,4 +42,3 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if seen == before:
             return now.df.select(F.col("v").alias("node"), F.col("m").alias("root"))
         before = seen
-    raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +61,7 @@ def id_from(key: Column, turn: int = 0) -> Column:
     return F.concat(F.lit("pl_"), *letters)
 
 
-def mint_or_reuse(registry: DataFrame, candidates: DataFrame, build: str, turns: int = 8) -> tuple[DataFrame, DataFrame]:
+def mint_or_reuse(registry: DataFrame, candidates: DataFrame, build: str) -> tuple[DataFrame, DataFrame]:
     """``(registry after the build, (candidate, place_id))``.
 
     A candidate whose keys are known keeps its id, adds its new keys and is active again if it was retired; the others get an
@@ -81,7 +82,7 @@ def mint_or_reuse(registry: DataFrame, candidates: DataFrame, build: str, turns:
         raise MintingError(f"several candidates lead to {[r['current'] for r in twice]}")
     taken = registry.select(F.col("place_id").alias("fresh"))
     todo, minted = joined.where("current is null").select("candidate", "keys"), None
-    for turn in range(turns):
+    for turn in count():
         tried = todo.withColumn("fresh", id_from(F.get(F.col("keys"), F.lit(0)), turn))
         free = tried.join(taken, "fresh", "left_anti")
         first = free.groupBy("fresh").agg(F.min("candidate").alias("candidate"))
@@ -91,8 +92,7 @@ def mint_or_reuse(registry: DataFrame, candidates: DataFrame, build: str, turns:
         todo = todo.join(won.select("candidate"), "candidate", "left_anti")
         if todo.isEmpty():
             break
-    else:
-        raise MintingError("could not mint an unused id")
+        todo = Stored(todo, "mint").df
     kept = joined.where("current is not null").select("candidate", F.col("current").alias("place_id"), F.col("keys").alias("_new"))
     old = registry.join(kept.select("place_id", "_new"), "place_id", "left")
     seen = F.col("_new").isNotNull()

@@ -9,10 +9,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import Stored
+from .components import connected_components
 
-MAX_ROUNDS = 200
-#: Bound on the pairs that one task assigns in order.
-LOCAL_PAIRS = 200_000
+#: Bound on the pairs that one task decides in order, and parallel rounds between looks at the separate parts of the graph.
+LOCAL_PAIRS, ROUNDS = 200_000, 6
+
+
+def _parts(edges: DataFrame, left: str, right: str, local: int, two_sided: bool) -> tuple[DataFrame, DataFrame]:
+    """``edges`` of the connected parts with at most ``local`` of them, with the part's ``_root``, and the other edges.
+
+    With ``two_sided`` a value on the left is another node than the same value on the right.
+    """
+    node = lambda c, tag: F.concat(F.lit(tag if two_sided else ""), F.col(c).cast("string"))
+    named = edges.withColumns({"_l": node(left, "l"), "_r": node(right, "r")})
+    roots = connected_components(named, "_l", "_r")
+    rooted = Stored(named.join(roots, F.col("_l") == F.col("node")).withColumnRenamed("root", "_root").drop("_l", "_r", "node"), "parts").df
+    sized = rooted.join(rooted.groupBy("_root").agg(F.count("*").alias("_n")), "_root")
+    return sized.where(F.col("_n") <= local).drop("_n"), sized.where(F.col("_n") > local).drop("_n", "_root")
 
 
 def greedy_assignment(pairs: DataFrame, left: str, right: str, cost: str, local: int = LOCAL_PAIRS) -> DataFrame:
@@ -23,35 +36,45 @@ def greedy_assignment(pairs: DataFrame, left: str, right: str, cost: str, local:
     open. Work per round is two minima with map-side parts; a left or right with very many pairs is no single task.
 
     Null ends or costs are ignored, repeated pairs count once at their least cost, an empty input gives an empty result. Up to
-    ``local`` open pairs are finished by one task that runs through them in order, with the same result.
+    ``local`` open pairs are finished by one task that runs through them in order, and after every few rounds so are the
+    separate parts of the graph that are no larger, each by a task of its own, since a long chain of falling costs would
+    need as many rounds as it has links. The result is the same; only one connected part of more than ``local`` pairs can
+    need many rounds, and it gets them.
     """
     slim = pairs.select(F.col(left).alias("l"), F.col(right).alias("r"), F.col(cost).alias("c")).where("l is not null and r is not null and c is not null")
     now = Stored(slim.groupBy("l", "r").agg(F.min("c").alias("c")), "pairs")
     taken = now.df.where(F.lit(False))
     rank = F.struct("c", "l", "r")
-    for _ in range(MAX_ROUNDS):
+    done = 0
+    while True:
         if now.df.count() <= local:
-            taken = taken.union(_in_order(now.df))
+            taken = taken.union(_in_order(now.df.withColumn("_root", F.lit(0))))
             return taken.select(F.col("l").alias(left), F.col("r").alias(right), F.col("c").alias(cost))
-        by_left = now.df.groupBy("l").agg(F.min(rank).alias("b")).select("b.*")
-        by_right = now.df.groupBy("r").agg(F.min(rank).alias("b")).select("b.*")
-        best = Stored(by_left.join(by_right, ["l", "r", "c"]).select("l", "r", "c"), "taken").df
-        taken = taken.union(best)
-        rest = now.df.join(best.select("l"), "l", "left_anti").join(best.select("r"), "r", "left_anti")
+        done += 1
+        if done % ROUNDS == 0:
+            small, rest = _parts(now.df, "l", "r", local, True)
+            taken = taken.union(Stored(_in_order(small), "taken").df)
+        else:
+            by_left = now.df.groupBy("l").agg(F.min(rank).alias("b")).select("b.*")
+            by_right = now.df.groupBy("r").agg(F.min(rank).alias("b")).select("b.*")
+            best = Stored(by_left.join(by_right, ["l", "r", "c"]).select("l", "r", "c"), "taken").df
+            taken = taken.union(best)
+            rest = now.df.join(best.select("l"), "l", "left_anti").join(best.select("r"), "r", "left_anti")
         after = Stored(rest.select("l", "r", "c"), "pairs")
         now.drop()
         now = after
-    raise RuntimeError("assignment did not end")
 
 
 def _in_order(pairs: DataFrame) -> DataFrame:
-    """The sequential rule on a bounded number of pairs, in one task."""
+    """The sequential rule within every ``_root``, whose pairs are of a bounded number; a root is one task's."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, right = set(), set()
+        at, left, right = None, set(), set()
         for batch in batches:
             keep = []
-            for a, b in zip(batch["l"], batch["r"]):
+            for root, a, b in zip(batch["_root"], batch["l"], batch["r"]):
+                if root != at:
+                    at, left, right = root, set(), set()
                 free = a not in left and b not in right
                 keep.append(free)
                 if free:
@@ -59,11 +82,11 @@ def _in_order(pairs: DataFrame) -> DataFrame:
                     right.add(b)
             yield batch[pd.Series(keep, index=batch.index, dtype=bool)][["l", "r"]]
 
-    order = pairs.repartition(1).sortWithinPartitions("c", "l", "r").select("l", "r")
-    return order.mapInPandas(run, order.schema).join(pairs, ["l", "r"]).select("l", "r", "c")
+    order = pairs.repartition("_root").sortWithinPartitions("_root", "c", "l", "r").select("_root", "l", "r")
+    return order.mapInPandas(run, order.drop("_root").schema).join(pairs, ["l", "r"]).select("l", "r", "c")
 
 
-def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def star_clusters(nodes: DataFrame, edges: DataFrame, local: int = LOCAL_PAIRS) -> DataFrame:
     """``(id, center)``: greedy star clustering in order of ``priority`` (smaller first, then id).
 
     Sequentially, the first free node becomes a centre and takes its free neighbours. In parallel: a free node is a centre as
@@ -71,29 +94,68 @@ def star_clusters(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     neighbours before that one are settled as members. The answer is that of the sequential rule, with no group gathered.
 
     ``nodes``: unique (id, priority); ``edges``: (a, b), any direction, repeats allowed; ends that are not nodes are ignored.
-    Isolated nodes are their own centres.
+    Isolated nodes are their own centres. As with ``greedy_assignment``, up to ``local`` open edges are decided in order by one
+    task, and so are separate parts of that size after every few rounds, since a path of falling priority settles a node a
+    round; one connected part of more edges gets as many rounds as it needs.
     """
     n = nodes.select("id", "priority")
     e = edges.select("a", "b").where("a <> b")
     both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    rank = lambda p, i: F.struct(F.col(p).alias("p"), F.col(i).alias("i"))
     # Only neighbours that come before a node decide about it.
     ranked = both.join(n.select(F.col("id").alias("a"), F.col("priority").alias("pa")), "a").join(n.select(F.col("id").alias("b"), F.col("priority").alias("pb")), "b")
-    before = Stored(ranked.where(rank("pb", "b") < rank("pa", "a")).select("a", "b", "pb"), "before").df
-    state = Stored(n.select("id", F.lit(None).cast(n.schema["id"].dataType).alias("center")), "stars")
-    for _ in range(MAX_ROUNDS):
-        known = state.df.select(F.col("id").alias("b"), F.col("center").alias("bc"))
+    rank = lambda p, i: F.struct(F.col(p).alias("p"), F.col(i).alias("i"))
+    before = Stored(ranked.where(rank("pb", "b") < rank("pa", "a")).select("a", "pa", "b", "pb"), "before").df
+    # A node without a neighbour before it is a centre.
+    first = n.join(before.select(F.col("a").alias("id")), "id", "left_anti").select("id", F.col("id").alias("center"))
+    state = Stored(first.union(before.select("a").distinct().select("a", F.lit(None).cast(n.schema["id"].dataType))), "stars")
+    done = 0
+    while True:
         free = state.df.where("center is null").select(F.col("id").alias("a"))
-        mine = before.join(free, "a", "left_semi").join(known, "b")
-        is_center, open_ = F.col("bc") == F.col("b"), F.col("bc").isNull()
-        seen = mine.groupBy("a").agg(F.min(F.when(is_center, rank("pb", "b"))).alias("c"), F.min(F.when(open_, rank("pb", "b"))).alias("o"))
-        next_ = free.join(seen, "a", "left").select("a", F.when(F.col("c").isNull() & F.col("o").isNull(), F.col("a")).when(F.col("c").isNotNull() & (F.col("o").isNull() | (F.col("c") < F.col("o"))), F.col("c.i")).alias("new"))
-        after = Stored(state.df.join(next_.withColumnRenamed("a", "id"), "id", "left").select("id", F.coalesce("center", "new").alias("center")), "stars")
+        mine = before.join(free, "a", "left_semi").join(state.df.select(F.col("id").alias("b"), F.col("center").alias("bc")), "b")
+        # Settled members before a node say nothing more.
+        open_ = Stored(mine.where("bc is null or bc = b"), "open").df
+        left = open_.count()
+        if left == 0 and free.isEmpty():
+            return state.df
+        done += 1
+        if left <= local:
+            new = _stars_in_order(open_.withColumn("_root", F.lit(0)), free.withColumn("_root", F.lit(0)))
+        elif done % ROUNDS == 0:
+            small, _ = _parts(open_, "a", "b", local, False)
+            new = _stars_in_order(small, small.select("a", "_root").distinct())
+        else:
+            is_center = F.col("bc") == F.col("b")
+            seen = open_.groupBy("a").agg(F.min(F.when(is_center, rank("pb", "b"))).alias("c"), F.min(F.when(F.col("bc").isNull(), rank("pb", "b"))).alias("o"))
+            found = F.when(F.col("c").isNull() & F.col("o").isNull(), F.col("a")).when(F.col("c").isNotNull() & (F.col("o").isNull() | (F.col("c") < F.col("o"))), F.col("c.i"))
+            new = free.join(seen, "a", "left").select("a", found.alias("new"))
+        after = Stored(state.df.join(new.select(F.col("a").alias("id"), "new"), "id", "left").select("id", F.coalesce("center", "new").alias("center")), "stars")
         state.drop()
         state = after
-        if state.df.where("center is null").isEmpty():
-            return state.df
-    raise RuntimeError("clustering did not end")
+
+
+def _stars_in_order(open_: DataFrame, free: DataFrame) -> DataFrame:
+    """``(a, new)``: the centres of free nodes by the sequential rule within every ``_root``; ``open_`` has their neighbours before them."""
+    kind = open_.schema["a"].dataType.simpleString()
+    lists = open_.groupBy("a", "_root").agg(F.first("pa").alias("pa"), F.array_sort(F.collect_list(F.struct("pb", "b", F.col("bc").isNotNull().alias("center")))).alias("near"))
+    # A node with nothing open before it comes out as its own centre, whatever its place in the order.
+    rows = free.join(lists, ["a", "_root"], "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, member = None, set()
+        for batch in batches:
+            new = []
+            for root, a, near in zip(batch["_root"], batch["a"], batch["near"]):
+                if root != at:
+                    at, member = root, set()
+                # The free ones before it have been decided by now: those that are no members are centres.
+                center = next((x["b"] for x in near if x["center"] or x["b"] not in member), a) if near is not None else a
+                if center != a:
+                    member.add(a)
+                new.append(center)
+            yield pd.DataFrame({"a": batch["a"], "new": new})
+
+    order = rows.repartition("_root").sortWithinPartitions("_root", "pa", "a").select("_root", "a", "near")
+    return order.mapInPandas(run, f"a {kind}, new {kind}")
 
 
 def chain_roots(pointers: DataFrame, key: str, target: str) -> DataFrame:
