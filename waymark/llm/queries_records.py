@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity
+from ..functions.geo import located
 from ..operators.latest import current_places
 from ..runtime import broadcast_if_small, table
 from .linkage import link_records, records_of, whole_number
-from .representative import Bundle, Dependency, best_representative, tied_groups
+from .representative import Bundle, Dependency, best_representative, search_extent, tied_groups
 from .sample import sample_versions
 from .topn import top_n_per_group
 
@@ -43,20 +44,27 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("first_admit_id").alias("first_id"), F.col("admit_id").alias("survivor_id"), F.coalesce("whole_whs", F.lit("")).alias("whs"))
 
 
-def p1_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole surviving records: the property's country must be that of the chosen location bundle."""
-    rows = admit_groups(spark, folder).withColumn("country", identity.country("iso3"))
+def _consistent() -> tuple[list[Bundle], list[Dependency]]:
+    """Bundles of a whole record, where the property's country must be that of the chosen location."""
     newest, smallest = F.col("retrieved"), -F.col("admit_id")
-    from ..functions.geo import located
-
-    placed = located(F.col("lat"), F.col("lon"))
-    survivor, heritage = _bundles()
-    location = Bundle("location", ["lat", "lon", "country"], [identity.count_or_null("sitelinks"), newest, smallest], when=placed)
+    location = Bundle("location", ["lat", "lon", "country"], [identity.count_or_null("sitelinks"), newest, smallest], when=located(F.col("lat"), F.col("lon")))
     labels = Bundle("labels", ["label_en", "label_loc"], [F.col("label_en").isNotNull(), F.col("label_loc").isNotNull(), newest, smallest], when=F.coalesce("label_en", "label_loc").isNotNull())
-    found = best_representative(rows, "group_id", "admit_id", [survivor, heritage, location, labels], [Dependency("heritage", "whs_iso3", "location", "country")])
+    return [*_bundles(), location, labels], [Dependency("heritage", "whs_iso3", "location", "country")]
+
+
+def p1_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole surviving records by branch and bound under the dependency of the location on the property."""
+    rows = admit_groups(spark, folder).withColumn("country", identity.country("iso3"))
+    found = best_representative(rows, "group_id", "admit_id", *_consistent())
     return found.withColumnsRenamed({"first_admit_id": "first_id", "admit_id": "survivor_id", "whole_whs": "whs"}).drop("group_id")
 
 
+def p1_search(spark: SparkSession, folder: str) -> DataFrame:
+    """How many of the groups of ``p1_records`` are settled by search below the root."""
+    rows = admit_groups(spark, folder).withColumn("country", identity.country("iso3"))
+    return search_extent(rows, "group_id", "admit_id", *_consistent())
+
+
 def p3_links(spark: SparkSession, folder: str) -> DataFrame:
     """Holdout rows and the places they mean, with a confidence."""
     places = current_places(table(spark, folder, "place"), "type", "name_en", "name_local", "aliases", "country_iso3", "lat", "lon", "whs_id").select(
@@ -88,7 +96,7 @@ def p6_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sample_versions(rows, "place_id", "type", "build_no", "loaded_at", ["qid"], RATES, SALT)
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p6_sample": p6_sample}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p1_search": p1_search, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p6_sample": p6_sample}
 
 _QID = r"nullif(regexp_extract(upper({0}), '(?:^|[^A-Z0-9])(Q[0-9]+)\s*$', 1), '')"
 _TIER = "CASE lower(trim({0})) WHEN 'icon' THEN 'Icon' WHEN 'major' THEN 'Major' WHEN 'notable' THEN 'Notable' WHEN 'local' THEN 'Local' END"
@@ -103,7 +111,31 @@ _GROUPS = f"""
     root AS (SELECT u, min(v) g FROM reach GROUP BY u),
     g AS (SELECT DISTINCT a.*, root.g FROM a JOIN m USING (admit_id) JOIN root ON root.u = m.q)"""
 
+# One candidate a distinct constrained value, and "none" behind the last; the least sum of positions, earlier bundles first.
+_RECORDS = f"""
+        WITH RECURSIVE {_GROUPS},
+        r AS (SELECT g.g, g.admit_id, g.retrieved, CASE WHEN g.sitelinks >= 0 THEN g.sitelinks END sl, nullif(upper(trim(x.iso3)), '') country, x.lat, x.lon, x.label_en, x.label_loc,
+                     p.id_number whole, nullif(upper(trim(p.iso3)), '') wiso,
+                     coalesce(NOT isnan(x.lat) AND NOT isnan(x.lon) AND abs(x.lat) <= 90 AND abs(x.lon) <= 180 AND NOT (x.lat = 0 AND x.lon = 0), false) placed
+              FROM g JOIN admit x USING (admit_id) LEFT JOIN whs_properties p ON len(regexp_extract_all(g.whs, '[0-9]+')) = 1 AND regexp_extract(g.whs, '[0-9]+') = trim(p.id_number)),
+        big AS (SELECT g, min(admit_id) first_id, count(*) n_rows, first(admit_id ORDER BY sl DESC NULLS LAST, retrieved DESC NULLS LAST, admit_id) survivor_id,
+                       first({{'e': label_en, 'l': label_loc}} ORDER BY label_en IS NOT NULL DESC, label_loc IS NOT NULL DESC, retrieved DESC NULLS LAST, admit_id)
+                         FILTER (coalesce(label_en, label_loc) IS NOT NULL) lab FROM r GROUP BY g HAVING count(*) > 1),
+        h AS (SELECT g, wiso, trim(whole) whole, row_number() OVER (PARTITION BY g ORDER BY retrieved DESC NULLS LAST, admit_id) - 1 p
+              FROM (SELECT * FROM r WHERE whole IS NOT NULL QUALIFY row_number() OVER (PARTITION BY g, wiso ORDER BY retrieved DESC NULLS LAST, admit_id) = 1)),
+        l AS (SELECT g, country, lat, lon, row_number() OVER (PARTITION BY g ORDER BY sl DESC NULLS LAST, retrieved DESC NULLS LAST, admit_id) - 1 p
+              FROM (SELECT * FROM r WHERE placed QUALIFY row_number() OVER (PARTITION BY g, country ORDER BY sl DESC NULLS LAST, retrieved DESC NULLS LAST, admit_id) = 1)),
+        hn AS (SELECT g, p, wiso, whole FROM h UNION ALL SELECT big.g, count(h.g), NULL, NULL FROM big LEFT JOIN h USING (g) GROUP BY big.g),
+        ln AS (SELECT g, p, country, lat, lon FROM l UNION ALL SELECT big.g, count(l.g), NULL, NULL, NULL FROM big LEFT JOIN l USING (g) GROUP BY big.g)"""
+
 SQL = {
+    "p1_records": f"""
+        {_RECORDS}
+        SELECT first_id, n_rows, survivor_id, whole whs, lat, lon, country, lab.e label_en, lab.l label_loc FROM big JOIN hn USING (g) JOIN ln USING (g)
+        WHERE coalesce(wiso = country, true) QUALIFY row_number() OVER (PARTITION BY g ORDER BY hn.p + ln.p, hn.p, ln.p) = 1""",
+    "p1_search": f"""
+        {_RECORDS}
+        SELECT count(*) groups, count(*) FILTER (NOT coalesce(hn.wiso = ln.country, true)) searched FROM big JOIN hn ON hn.g = big.g AND hn.p = 0 JOIN ln ON ln.g = big.g AND ln.p = 0""",
     "p1_found": f"""
         WITH RECURSIVE {_GROUPS},
         w AS (SELECT g.*, p.id_number whole FROM g LEFT JOIN whs_properties p

@@ -109,8 +109,7 @@ def best_representative(rows: DataFrame, group: str, key: str, bundles: Sequence
     """
     plan = _Plan(bundles, dependencies)
     rows = rows.where(F.col(group).isNotNull())
-    tops = [F.max(F.when(b.when if b.when is not None else F.lit(True), plan.record(b))).alias(f"_b{i}") for i, b in enumerate(bundles)]
-    top = rows.groupBy(group).agg(F.min(key).alias(f"first_{key}"), F.count("*").alias("n_rows"), *tops).where(F.col("n_rows") >= least)
+    top = _tops(rows, group, key, plan, least)
     at = {b.name: i for i, b in enumerate(bundles)}
     head = [group, f"first_{key}", "n_rows"]
 
@@ -130,6 +129,20 @@ def best_representative(rows: DataFrame, group: str, key: str, bundles: Sequence
     return out
 
 
+def _tops(rows: DataFrame, group: str, key: str, plan: _Plan, least: int) -> DataFrame:
+    """Groups of at least ``least`` rows with the most trusted candidate of every bundle: the bound at the root of the search."""
+    tops = [F.max(F.when(b.when if b.when is not None else F.lit(True), plan.record(b))).alias(f"_b{i}") for i, b in enumerate(plan.bundles)]
+    return rows.groupBy(group).agg(F.min(key).alias(f"first_{key}"), F.count("*").alias("n_rows"), *tops).where(F.col("n_rows") >= least)
+
+
+def search_extent(rows: DataFrame, group: str, key: str, bundles: Sequence[Bundle], dependencies: Sequence[Dependency], least: int = 2) -> DataFrame:
+    """``(groups, searched)``: how many groups there are, and how many contradict themselves at the root and go on to the search."""
+    plan = _Plan(bundles, dependencies)
+    top = _tops(rows.where(F.col(group).isNotNull()), group, key, plan, least)
+    at = {b.name: i for i, b in enumerate(bundles)}
+    return top.agg(F.count("*").alias("groups"), F.count_if(~plan.agrees(lambda b: F.col(f"_b{at[b.name]}"))).alias("searched"))
+
+
 def _search(rows: DataFrame, groups: DataFrame, group: str, head: list[str], plan: _Plan, most: int) -> DataFrame:
     mine = rows.join(groups.select(group), group, "left_semi")
     joined = groups
