@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .text import repair, untagged
@@ -18,6 +19,8 @@ from .text import repair, untagged
 GRADES = 5
 #: Most labelled documents that the models are fitted on; chosen by the smallest hash of the document's id.
 FIT_DOCUMENTS = 4_000
+#: And most characters of them together, in the same order; a document is fitted on whole or not at all.
+FIT_CHARACTERS = 64_000_000
 #: Of these, so many calibrate the documents' grades, each by a sentence model that has not seen it; and parts made of them.
 CALIBRATION_DOCUMENTS, FOLDS = 1_000, 4
 GRAM_BITS = 13
@@ -85,27 +88,33 @@ class Strength:
 class ReadingModel:
     """Sentence scores are the mean of word vectors; a word's vector is its own weights plus those of its character grams."""
 
-    def __init__(self, texts: list[str], target: np.ndarray, strength: Strength = Strength()):
+    def __init__(self, texts: list[str], target: np.ndarray, strength: Strength = Strength(), spark: SparkSession | None = None):
+        """``texts`` in random order: the first ``CALIBRATION_DOCUMENTS`` of them calibrate. With ``spark`` the folds are fitted
+        by tasks side by side with the whole."""
         split = [[tokens(s) for s in sentences(t)] for t in texts]
-        self._fit_words(split, target, strength)
+        some = min(len(split), CALIBRATION_DOCUMENTS)
+        # Copies of one text fall into one part.
+        part = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts[:some]], dtype=int)
+        held = np.concatenate([part, np.full(len(split) - some, -1)]).astype(int)
+        if spark is None or not texts:
+            fitted = [_fit_part(k, split, target, held, strength) for k in range(-1, FOLDS)]
+        else:
+            shared = spark.sparkContext.broadcast((split, target, held, strength))
+
+            def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    yield pd.DataFrame({"k": batch["id"], "fitted": [pickle.dumps(_fit_part(int(k) - 1, *shared.value)) for k in batch["id"]]})
+
+            rows = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInPandas(fit, "k long, fitted binary").collect()
+            fitted = [pickle.loads(r["fitted"]) for r in sorted(rows, key=lambda r: r["k"])]
+            shared.destroy()
+        self.__dict__.update(fitted[0][0].__dict__)
         self.document = None
         if not texts:
             return
         # What a model says of documents that it was fitted on is too sure of itself to calibrate by.
-        some = min(len(split), CALIBRATION_DOCUMENTS)
-        # Copies of one text fall into one part.
-        part = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts[:some]])
-        inside: list[np.ndarray] = [np.zeros((0, GRADES))] * some
-        for k in range(FOLDS):
-            mine = np.flatnonzero(part == k)
-            rest = np.flatnonzero(part != k)
-            model = self
-            if len(rest) and len(mine):
-                model = object.__new__(ReadingModel)
-                model._fit_words([split[i] for i in rest], target[rest], strength)
-            for i in mine:
-                inside[i] = model._sentence_probabilities(split[i])
-        self._fit_documents(inside, split[:some], target[:some])
+        unseen = {i: p for _, own in fitted[1:] for i, p in own.items()}
+        self._fit_documents([unseen[i] for i in range(some)], split[:some], target[:some])
         self._forget()
 
     def _fit_words(self, split: list[list[list[str]]], target: np.ndarray, strength: Strength) -> None:
@@ -212,18 +221,38 @@ class ReadingModel:
         return int(np.argmax(self.probabilities(text))) + 1
 
 
+def _fit_part(k: int, split: list, target: np.ndarray, held: np.ndarray, strength: Strength) -> tuple[ReadingModel | None, dict[int, np.ndarray]]:
+    """The sentence model without the documents of fold ``k`` (-1: with all), and what it says of the sentences of the fold.
+
+    A fold that leaves nothing to fit on is judged by the model of all.
+    """
+    model = object.__new__(ReadingModel)
+    mine = np.flatnonzero(held == k) if k >= 0 else np.zeros(0, dtype=int)
+    if k >= 0 and not len(mine):
+        return None, {}
+    rest = np.flatnonzero(held != k) if k >= 0 and len(mine) < len(split) else np.arange(len(split))
+    model._fit_words([split[i] for i in rest], target[rest], strength)
+    said = {int(i): model._sentence_probabilities(split[i]) for i in mine}
+    model._forget()
+    return (model if k < 0 else None), said
+
 
 def fit_model(documents: DataFrame, labels: DataFrame, key: str, text: str, grade: str, most: int = FIT_DOCUMENTS, strength: Strength = Strength()) -> ReadingModel:
     """The model fitted on at most ``most`` labelled documents, those with the smallest hash of their key.
 
-    A document graded more than once has the share of its grades as target. Grades outside 1 to 5 and null texts are ignored.
+    Their texts have ``FIT_CHARACTERS`` together at most; those behind that many are left out. A document graded more than once
+    has the share of its grades as target. Grades outside 1 to 5 and null texts are ignored.
     """
     graded = labels.where(F.col(grade).between(1, GRADES) & F.col(key).isNotNull()).groupBy(key)
     graded = graded.agg(*[F.avg((F.col(grade) == g).cast("double")).alias(f"_p{g}") for g in range(1, GRADES + 1)])
-    chosen = graded.orderBy(F.md5(F.col(key).cast("string")), key).limit(most)
-    rows = documents.select(key, text).where(F.length(text) > 0).join(F.broadcast(chosen), key).dropDuplicates([key]).orderBy(key).collect()
+    turn = F.md5(F.col(key).cast("string"))
+    chosen = graded.orderBy(turn, key).limit(most)
+    # No more than ``most`` rows reach the running sum.
+    rows = documents.select(key, text).where(F.length(text) > 0).join(F.broadcast(chosen), key).dropDuplicates([key])
+    read = F.sum(F.length(text)).over(Window.orderBy(turn, key).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_read", read).where(F.col("_read") <= FIT_CHARACTERS).orderBy(turn, key).collect()
     target = np.array([[r[f"_p{g}"] for g in range(1, GRADES + 1)] for r in rows]).reshape(-1, GRADES)
-    return ReadingModel([r[text] for r in rows], target, strength)
+    return ReadingModel([r[text] for r in rows], target, strength, documents.sparkSession)
 
 
 def reading_levels(documents: DataFrame, model: ReadingModel, key: str, text: str) -> DataFrame:
