@@ -107,7 +107,7 @@ def test_tiers_and_read_models(spark):
     q = print_quota(spark.createDataFrame([("A", 9.0, 7), ("B", 0.1, 1)], "iso string, w double, k int"), F.col("w"), 10, F.col("k"))
     assert {r.iso: r.quota for r in q.collect()} == {"A": 10, "B": 1}
     p = spark.createDataFrame([("A", f"p{i}", i, "x" if i < 3 else "y", i == 0, i == 9) for i in range(10)], "iso string, id string, rank int, kind string, f boolean, b boolean")
-    chosen = [r.id for r in print_selection(p, spark.createDataFrame([("A", 3)], "iso string, quota int"), "iso", "id", [F.desc("rank")], "kind", F.col("f"), F.col("b")).orderBy("position").collect()]
+    chosen = [r.id for r in print_selection(p, spark.createDataFrame([("A", 3)], "iso string, quota int"), "iso", "id", [F.col("rank")], "kind", F.col("f"), F.col("b")).orderBy("position").collect()]
     assert chosen == ["p0", "p8", "p7"] and "p9" not in chosen
     m = missing_kinds(p, spark.createDataFrame([("p1",)], "id string"), "iso", "id", "kind")
     assert [r.sentence for r in gap_sentence(m, "iso", "kind", ["x", "y"]).collect()] == ["Not yet: y"]

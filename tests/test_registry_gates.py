@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waymark.operators import registry as R
-from waymark.operators.gates import GATES, Context, golden_problems, place_problems, run_gates
+from waymark.operators.gates import GATES, Context, frozen_digest, golden_problems, place_problems, run_gates
 
 KINDS = ["ruins", "sacred"]
 EV = [{"asset_id": "wd:Q1", "source": "wikidata", "url": None, "retrieved": "2026-01-01", "source_key": "qid:Q1"}]
@@ -56,12 +56,14 @@ def context(spark, places=None, base=None):
     base = bundle(spark) if base is None else base
     p = base if places is None else places
     golden = base.select(F.concat(F.lit("G"), F.substring("place_id", 4, 10)).alias("golden_id"), F.lit("positive").alias("row_kind"), F.col("name_en").alias("expected_name"), "iso3", "type", F.col("lat").cast("string").alias("lat"), F.col("lon").cast("string").alias("lon"), F.lit("5").alias("tol_km"), F.lit("Local").alias("min_tier"), F.lit("Icon").alias("max_tier"), F.lit(None).cast("string").alias("relation"), F.lit(None).cast("string").alias("target_id"), "qid", F.lit(None).cast("string").alias("whs_id"), F.lit("yes").alias("regression"))
+    holdout = golden.withColumns({"golden_id": F.concat(F.lit("H"), "golden_id"), "expected_name": F.concat(F.lit("Held "), "expected_name"), "lat": (F.col("lat").cast("double") + 30).cast("string")})
     matches = p.select(F.concat(F.lit("G"), F.substring("place_id", 4, 10)).alias("golden_id"), "place_id").where("length(place_id) = 13")
     return Context(
         p, KINDS, golden, matches, base.select("place_id", "keys", F.lit("active").alias("status")), base, base.rollup("iso3").agg(F.count("*").alias("n")),
         spark.createDataFrame([("a", "x")], "file string, sha256 string"), spark.createDataFrame([("a", "x")], "file string, sha256 string"),
         spark.createDataFrame([("ABC", 5, False), ("DEF", 5, False)], "iso3 string, floor int, exempt boolean"),
         base.where("size(kinds) > 0").select("place_id", F.transform("kinds", lambda k: k["kind"]).alias("kinds")), base.limit(110).select("place_id", F.lit("right").alias("verdict")), strict=False,
+        holdout=holdout, holdout_matches=matches.select(F.concat(F.lit("H"), "golden_id").alias("golden_id"), "place_id"), frozen=frozen_digest(holdout),
     )
 
 
@@ -102,6 +104,26 @@ def test_each_gate_fails_on_its_defect(spark, name):
     assert results(spark, context(spark, MUTATIONS[name](base), base), [name]) == {name: False}
 
 
+def test_holdout_is_frozen_and_apart(spark):
+    ctx = context(spark)
+    ctx.frozen = "other"
+    assert results(spark, ctx, ["G-HOLDOUT"]) == {"G-HOLDOUT": False}
+    for change in ({"expected_name": F.lit("PLACE  7".replace("  ", " "))}, {"lat": (F.col("lat").cast("double") - 30).cast("string")}):
+        ctx = context(spark)
+        ctx.holdout = ctx.holdout.withColumns(change)
+        ctx.frozen = frozen_digest(ctx.holdout)
+        assert results(spark, ctx, ["G-HOLDOUT"]) == {"G-HOLDOUT": False}
+
+
+def test_negative_rows_that_places_contradict(spark):
+    row = lambda id_, name, iso, relation, target: (id_, "negative", name, iso, "site", "1", "1", "5", "Local", "Icon", relation, target, None, None, None)
+    for rows, ok in (([row("N1", "Not There", "ABC", "component_of", "G0000000000")], True), ([row("N1", "place 1", "ABC", "component_of", None)], False), ([row("N1", "Not There", "QQQ", "component_of", None)], False),
+                     ([row("N1", "Place 1", "ABC", "not_credited", "G0000000003")], False), ([row("N1", "Not There", "ABC", "not_credited", "G9")], False)):
+        ctx = context(spark)
+        ctx.golden = ctx.golden.union(spark.createDataFrame(rows, ctx.golden.schema))
+        assert results(spark, ctx, ["G-LANDMARK"]) == {"G-LANDMARK": ok}
+
+
 def test_gates_fail_closed(spark):
     empty = context(spark, bundle(spark).where("false"))
     got = results(spark, empty)

@@ -90,3 +90,30 @@ def capital_columns(b: Column) -> dict[str, Column]:
     ended = F.coalesce(F.lower(b["ended"]).isin("true", "1"), F.lit(False))
     classes = F.filter(F.transform(F.split(b["classes"], r"\|"), id_of), lambda q: q != "")
     return {"cap": id_of(b["cap"]), "state": id_of(b["state"]), "classes": F.coalesce(classes, F.array().cast("array<string>")), "ended": ended}
+
+
+def profile_columns(entity: Column) -> dict[str, Column]:
+    """Which wikis carry the item: names of its site links that end in ``wiki``, in order; null for a missing item."""
+    e = F.from_json(entity, ENTITY)
+    names = F.array_sort(F.filter(F.map_keys(e["sitelinks"]), lambda k: k.endswith("wiki")))
+    return {"missing": e["missing"].isNotNull(), "wikis": F.when(e["missing"].isNull(), F.coalesce(names, F.array().cast("array<string>")))}
+
+
+def class_columns(entity: Column) -> dict[str, Column]:
+    """A class's English label and the classes that it is a kind of."""
+    e = F.from_json(entity, ENTITY)
+    return {"label": e["labels"]["en"]["value"], "parents": item_ids(e["claims"]["P279"])}
+
+
+def monthly_views(answer: Column, first: str, months: int = 12) -> Column:
+    """Views by month from ``first`` (``YYYYMM``) of a page-view answer, gaps as 0; null where the answer is (a missing article)."""
+    items = F.from_json(answer, "items array<struct<timestamp:string, views:bigint>>")["items"]
+    start = int(first[:4]) * 12 + int(first[4:]) - 1
+    at = lambda t: F.substring(t, 1, 4).cast("int") * 12 + F.substring(t, 5, 2).cast("int") - 1 - start
+    of = lambda m: F.aggregate(F.filter(items, lambda x: at(x["timestamp"]) == m), F.lit(0).cast("bigint"), lambda a, x: a + x["views"])
+    return F.when(answer.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(months - 1)), of))
+
+
+def title_path(title: Column) -> Column:
+    """An article's title as a segment of a path: blanks as underscores, everything else escaped."""
+    return F.regexp_replace(F.url_encode(F.replace(title, F.lit(" "), F.lit("_"))), r"\*", "%2A")

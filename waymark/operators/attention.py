@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Stored, broadcast_if_small
+from .ranks import ranked_in_groups
+
 
 def source_rates(profile: DataFrame, group: str | None = None) -> DataFrame:
     """``([group], source, rate)``: share of the items (of a group) that each source carries.
@@ -36,12 +39,20 @@ def frequent_classes(items: DataFrame, top: int) -> DataFrame:
     return items.groupBy("class").agg(F.countDistinct("item").alias("items")).orderBy(F.desc("items"), "class").limit(top)
 
 
-def mid_rank_percentile(value: str, *group: str):
-    """100 times (rows below + half the rows equal) over all rows of the group."""
-    part = Window.partitionBy(*group)
-    below = F.rank().over(part.orderBy(value)) - 1
-    equal = F.count("*").over(Window.partitionBy(*group, value))
-    return 100.0 * (2 * below + equal) / (2 * F.count("*").over(part))
+def with_mid_rank(df: DataFrame, value: str, groups: list[str], unique: str, into: str) -> DataFrame:
+    """Adds 100 times (rows below + half the rows equal) over all rows of the group.
+
+    Ranks come from a distributed sort that ends on ``unique``, so neither a group nor a value that a third of all rows share is
+    one task's; a value's first rank and count are folded before the shuffle. Null groups are groups.
+    """
+    ranked = Stored(ranked_in_groups(df, groups, [F.col(value), F.col(unique)]), "ranks").df
+    keys = [*groups, value]
+    tied = ranked.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("rank").alias("_below"), F.count("*").alias("_equal"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    pct = 100.0 * (2 * F.col("_below") + F.col("_equal")) / (2 * F.col("size"))
+    return ranked.join(broadcast_if_small(tied), on).withColumn(into, pct).select(*df.columns, into)
 
 
 def attention_scores(items: DataFrame, profile: DataFrame, least: int, ignored: list[str] = ()) -> DataFrame:
@@ -51,14 +62,14 @@ def attention_scores(items: DataFrame, profile: DataFrame, least: int, ignored:
     or against all items where the item has no mass class; such items get no percentile. Items without a profile get no row.
     """
     one = main_class(items, mass_classes(items, least))
-    rows = profile.where("item is not null and source is not null").dropDuplicates(["item", "source"]).join(one, "item")
+    rows = Stored(profile.where("item is not null and source is not null").dropDuplicates(["item", "source"]).join(one, "item"), "profile").df
     pooled = source_rates(rows).withColumnRenamed("rate", "_pooled")
     by_class = source_rates(rows.where("class is not null"), "class")
-    rated = rows.join(F.broadcast(pooled), "source", "left").join(by_class, ["class", "source"], "left")
+    rated = rows.join(broadcast_if_small(pooled), "source", "left").join(by_class, ["class", "source"], "left")
     rarity = 1.0 - F.when(F.col("class").isNull(), F.col("_pooled")).otherwise(F.col("rate"))
     counted = F.when(~F.col("source").cast("string").isin(list(ignored)), rarity).otherwise(0.0) if ignored else rarity
     scored = rated.groupBy("item", "country", "class").agg(F.round(F.sum(counted), 6).alias("d"))
-    return scored.withColumn("pct", F.when(F.col("class").isNotNull(), mid_rank_percentile("d", "country", "class")))
+    return with_mid_rank(scored, "d", ["country", "class"], "item", "pct").withColumn("pct", F.when(F.col("class").isNotNull(), F.col("pct")))
 
 
 def top_share(pct, share: float):

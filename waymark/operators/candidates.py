@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identity
 from ..functions.text import squeeze_space
+from ..runtime import broadcast_if_small
 
 # Extract families in the order in which they are read, and admission thresholds.
 FAMILIES = ["attention", "class", "popall", "institutional", "detail", "node"]
@@ -62,7 +63,7 @@ def assemble(extracts: DataFrame, properties: DataFrame, overrides: DataFrame |
     )
     if overrides is not None:
         named = overrides.select("qid", F.col("iso3").alias("_iso"))
-        out = out.join(F.broadcast(named), "qid", "left").withColumn("iso3", F.coalesce("_iso", "iso3")).drop("_iso")
+        out = out.join(broadcast_if_small(named), "qid", "left").withColumn("iso3", F.coalesce("_iso", "iso3")).drop("_iso")
     return out
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import Down, ranked_in_groups
+
 
 def months_filled(rows: DataFrame, key: str, day: str, value: Column, first: str, months: int = 12) -> DataFrame:
     """``(key, views, total)``: sums by month from ``first`` as an array without gaps; keys without any row in the span are absent."""
@@ -36,16 +38,17 @@ def print_quota(countries: DataFrame, weight: Column, budget: int, kinds: Column
 def print_selection(places: DataFrame, quotas: DataFrame, country: str, key: str, order: Sequence[Column], kind: str, forced: Column, barred: Column) -> DataFrame:
     """Places for print: forced ones first, then by falling gain until the country's quota is full; barred ones never.
 
-    The gain of a place is its order, with the second and later places of one kind of a country put behind the first of every
+    ``order`` lists columns, greatest first. The gain of a place is its order, with the second and later places of one kind of a country put behind the first of every
     kind (rounds of kinds), which is the halving of novelty in rank form. Forced places count towards the quota but are not
-    cut by it.
+    cut by it. Ranks come from distributed sorts, so a country of any size is spread over tasks.
     """
-    free = places.where(~F.coalesce(barred, F.lit(False))).withColumn("_f", F.coalesce(forced, F.lit(False)))
-    turn = F.row_number().over(Window.partitionBy(country, kind).orderBy(F.desc("_f"), *order, key))
-    ranked = free.withColumn("_turn", turn)
-    place = F.row_number().over(Window.partitionBy(country).orderBy(F.desc("_f"), "_turn", *order, key))
-    chosen = ranked.withColumn("_place", place).join(quotas.select(country, "quota"), country)
-    return chosen.where(F.col("_f") | (F.col("_place") <= F.col("quota"))).select(country, key, F.col("_place").alias("position"))
+    free = places.where(~F.coalesce(barred, F.lit(False))).withColumn("_f", F.coalesce(forced, F.lit(False)).cast("int"))
+    free = free.withColumns({f"_s{i}": o for i, o in enumerate(order)})
+    falling = [Down("_f"), *[Down(f"_s{i}") for i in range(len(order))], F.col(key)]
+    turns = ranked_in_groups(free, [country, kind], falling).withColumnRenamed("rank", "_turn").drop("size")
+    placed = ranked_in_groups(turns, [country], [Down("_f"), F.col("_turn"), *falling[1:]])
+    chosen = placed.withColumn("position", (F.col("rank") + 1).cast("int")).join(quotas.select(country, "quota"), country)
+    return chosen.where((F.col("_f") == 1) | (F.col("position") <= F.col("quota"))).select(country, key, "position")
 
 
 def missing_kinds(places: DataFrame, visited: DataFrame, scope: str, key: str, kind: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import Stored, broadcast_if_small
 from .candidates import whole_property
 from .ranks import Down, ranked_in_groups
 
@@ -96,7 +97,9 @@ def assign_tiers(df: DataFrame, rule: TierRule = TierRule(), ties: tuple = ("nam
 def with_held(df: DataFrame) -> DataFrame:
     """Adds ``_held``, the number of whole World Heritage properties of the row's country."""
     held = df.groupBy(F.col("iso3").alias("_i")).agg(F.sum(whole_property(F.col("whs")).cast("int")).alias("_held"))
-    return df.join(F.broadcast(held), df["iso3"].eqNullSafe(F.col("_i")), "left").drop("_i")
+    # One row a country; written, so that its size is known.
+    held = broadcast_if_small(Stored(held, "held").df)
+    return df.join(held, df["iso3"].eqNullSafe(F.col("_i")), "left").drop("_i")
 
 
 def with_tier(df: DataFrame, rule: TierRule) -> DataFrame:

@@ -11,7 +11,7 @@ from ..functions import identity
 from ..operators.candidates import admit, assemble, classified, context_reason
 from ..operators.latest import latest_rows
 from ..operators.ranking import assign_tiers, country_rank, global_percentile, icon_count, notability, tier_violations, with_held
-from ..runtime import table
+from ..runtime import Stored, table
 
 TYPES = ["settlement", "site", "area", "route"]
 # The vocabulary of kinds in priority order.
@@ -87,7 +87,8 @@ def q11_notability(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ranked_input(spark: SparkSession, d: str) -> DataFrame:
-    return admitted(spark, d).select("qid", "iso3", "whs", F.round("n", 4).alias("n"), F.coalesce("label_en", "label_loc").alias("name_en"))
+    """What the ranks need, written once, since they read it several times."""
+    return Stored(admitted(spark, d).select("qid", "iso3", "whs", F.round("n", 4).alias("n"), F.coalesce("label_en", "label_loc").alias("name_en")), "admitted").df
 
 
 def q12_tiers(spark: SparkSession, d: str) -> DataFrame:

@@ -150,12 +150,12 @@ def q24_noisy_or(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q25_kind_select(spark: SparkSession, d: str) -> DataFrame:
-    s = select_kinds(fired_candidates(spark, d), KINDS, pair_rules())
+    s = select_kinds(Stored(fired_candidates(spark, d), "fired").df, KINDS, pair_rules())
     return s.select("qid", F.array_join(F.transform("kept", lambda c: c["kind"]), "|").alias("kinds"), "crowded", F.array_join(F.array_sort(F.transform("cut", lambda c: F.concat(c["kind"], F.lit("="), c["reason"]))), "|").alias("cut"))
 
 
 def q26_kind_distribution(spark: SparkSession, d: str) -> DataFrame:
-    return kind_distribution(Stored(select_kinds(fired_candidates(spark, d), KINDS, pair_rules()).select("kept"), "kinds").df, KINDS)
+    return kind_distribution(Stored(select_kinds(Stored(fired_candidates(spark, d), "fired").df, KINDS, pair_rules()).select("kept"), "kinds").df, KINDS)
 
 
 def q27_wilson(spark: SparkSession, d: str) -> DataFrame:

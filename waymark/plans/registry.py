@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import admission_queries, build_queries, core_problems, place_queries, report_queries, signal_queries
+from . import admission_queries, build_queries, core_problems, place_queries, report_queries, signal_queries, surface_queries
 
-_MODULES = (core_problems, signal_queries, admission_queries, place_queries, report_queries, build_queries)
+_MODULES = (core_problems, signal_queries, admission_queries, place_queries, report_queries, build_queries, surface_queries)
 
 FLAGSHIP = signal_queries.q01_attention_signal
 

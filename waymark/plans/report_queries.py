@@ -186,10 +186,10 @@ def q44_print_quota(spark: SparkSession, d: str) -> DataFrame:
 
 def q44_print_selection(spark: SparkSession, d: str) -> DataFrame:
     """Places for print: tier order within rounds of types, the first places of a build forced, local routes barred."""
-    p = places(spark, d).where("iso3 is not null").withColumn("rank", F.coalesce(identity.tier_rank("tier"), F.lit(-1)))
+    p = places(spark, d).where("iso3 is not null").withColumn("tier_rank", F.coalesce(identity.tier_rank("tier"), F.lit(-1)))
     forced = F.substring("place_id", 4, 2) == "00"
     barred = (F.col("type") == "route") & (F.col("tier") == "Local")
-    return print_selection(p, _quota(spark, d), "iso3", "place_id", [F.desc("rank")], "type", forced, barred)
+    return print_selection(p, _quota(spark, d), "iso3", "place_id", [F.col("tier_rank")], "type", forced, barred)
 
 
 def q45_gap_sentence(spark: SparkSession, d: str) -> DataFrame:
