@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import pickle
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import repair, untagged
@@ -42,16 +42,32 @@ def sentences(text: str) -> list[str]:
     return [s for s in _SPLIT.split(text) if s and not s.isspace()]
 
 
+class _Later(dict):
+    """The form of a token that is not its sentence's first, by token as written; computed once and dropped when there are too many."""
+
+    def __missing__(self, w: str) -> str:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        form = "^0" if w[0].isdigit() else w if w.islower() or not w[0].isalpha() else "^n"
+        self[w] = form
+        return form
+
+
+_later = _Later()
+
+
 def tokens(sentence: str) -> list[str]:
     """Lower-case words, marks and one length mark; names (capitals after the first word) become one placeholder."""
     found = _TOKEN.findall(sentence)
-    out = [w if w.islower() or not w[0].isalpha() else ("^n" if k else w.lower()) for k, w in enumerate(found)]
-    out = ["^0" if w[0].isdigit() else w for w in out]
+    out = [_later[w] for w in found]
+    if found and out[0] == "^n":
+        out[0] = found[0].lower()
     n = len(out)
     out.append(f"^l{min(n, 60) // 3}")
     return out
 
 
+@lru_cache(maxsize=CACHED_WORDS)
 def grams(word: str) -> list[int]:
     """Hashed character 3- to 5-grams of a word with its ends marked."""
     if word[0] == "^" or len(word) < 2:
@@ -75,6 +91,21 @@ def _adam(parameters: list[np.ndarray], gradient, steps: int, rate: float) -> No
             p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-8)
 
 
+class _Rows(dict):
+    """Rows of words in a model's matrix; a new word gets one when it is first looked up."""
+
+    def __init__(self, model: ReadingModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = self.model._row(word)
+        return row
+
+    def __reduce__(self):
+        return _Rows, (self.model,)
+
+
 @dataclass
 class Strength:
     """L2 penalties of the three models, and training steps."""
@@ -88,35 +119,33 @@ class Strength:
 class ReadingModel:
     """Sentence scores are the mean of word vectors; a word's vector is its own weights plus those of its character grams."""
 
-    def __init__(self, texts: list[str], target: np.ndarray, strength: Strength = Strength(), spark: SparkSession | None = None):
-        """``texts`` in random order: the first ``CALIBRATION_DOCUMENTS`` of them calibrate. With ``spark`` the folds are fitted
-        by tasks side by side with the whole."""
+    def __init__(self, texts: list[str], target: np.ndarray, strength: Strength = Strength()):
+        """``texts`` in random order: the first ``CALIBRATION_DOCUMENTS`` of them calibrate."""
         split = [[tokens(s) for s in sentences(t)] for t in texts]
         some = min(len(split), CALIBRATION_DOCUMENTS)
         # Copies of one text fall into one part.
-        part = np.array([zlib.crc32(t.encode()) % FOLDS for t in texts[:some]], dtype=int)
-        held = np.concatenate([part, np.full(len(split) - some, -1)]).astype(int)
-        if spark is None or not texts:
-            fitted = [_fit_part(k, split, target, held, strength) for k in range(-1, FOLDS)]
-        else:
-            shared = spark.sparkContext.broadcast((split, target, held, strength))
-
-            def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-                for batch in batches:
-                    yield pd.DataFrame({"k": batch["id"], "fitted": [pickle.dumps(_fit_part(int(k) - 1, *shared.value)) for k in batch["id"]]})
-
-            rows = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInPandas(fit, "k long, fitted binary").collect()
-            fitted = [pickle.loads(r["fitted"]) for r in sorted(rows, key=lambda r: r["k"])]
-            shared.destroy()
-        self.__dict__.update(fitted[0][0].__dict__)
+        held = np.full(len(split), -1)
+        held[:some] = [zlib.crc32(t.encode()) % FOLDS for t in texts[:some]]
+        self._fit_words(split, target, strength)
         self.document = None
         if not texts:
             return
         # What a model says of documents that it was fitted on is too sure of itself to calibrate by.
-        unseen = {i: p for _, own in fitted[1:] for i, p in own.items()}
+        unseen: dict[int, np.ndarray] = {}
+        for k in range(FOLDS):
+            unseen |= self._said_unseen(k, split, target, held, strength)
         self._fit_documents([unseen[i] for i in range(some)], split[:some], target[:some])
         self._forget()
 
+    def _said_unseen(self, k: int, split: list, target: np.ndarray, held: np.ndarray, strength: Strength) -> dict[int, np.ndarray]:
+        """What a model that has not seen fold ``k`` says of its sentences; the model of all where that leaves nothing to fit on."""
+        mine, rest = np.flatnonzero(held == k), np.flatnonzero(held != k)
+        model = self
+        if len(mine) and len(rest):
+            model = object.__new__(ReadingModel)
+            model._fit_words([split[i] for i in rest], target[rest], strength)
+        return {int(i): model._sentence_probabilities(split[i]) for i in mine}
+
     def _fit_words(self, split: list[list[list[str]]], target: np.ndarray, strength: Strength) -> None:
         """The sentence model, with every sentence under the grade of its document."""
         self.strength = strength
@@ -146,31 +175,46 @@ class ReadingModel:
         many = np.maximum(1, np.bincount(gram_of, minlength=len(types))).astype(float)
         total, s = weight.sum(), self.strength
 
-        def column_sums(index: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
-            return np.stack([np.bincount(index, weights=values[:, c], minlength=rows) for c in range(GRADES)], axis=1)
+        # Sums over runs of sorted rows: tokens by sentence and by word, grams by word and by gram.
+        def runs(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.unique(sorted_, return_index=True)
+
+        inside = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        by_word = np.argsort(ids, kind="stable")
+        word_of, word_runs = runs(ids[by_word])
+        sentence_of = of[by_word]
+        gram_words, gram_runs = runs(gram_of) if len(gram) else (gram_of, gram_of)
+        by_gram = np.argsort(gram, kind="stable")
+        gram_ids, gram_starts = runs(gram[by_gram]) if len(gram) else (gram, gram)
+        gram_word = gram_of[by_gram]
+        known = own >= 0
 
         def gradient() -> list[np.ndarray]:
-            vector = column_sums(gram_of, self.grams[gram], len(types)) / many[:, None] if len(gram) else np.zeros((len(types), GRADES))
-            vector[own >= 0] += self.words[own[own >= 0]]
-            p = _softmax(column_sums(of, vector[ids], len(flat)) / size[:, None] + self.bias)
+            vector = np.zeros((len(types), GRADES))
+            if len(gram):
+                vector[gram_words] = np.add.reduceat(self.grams[gram], gram_runs) / many[gram_words, None]
+            vector[known] += self.words[own[known]]
+            p = _softmax(np.add.reduceat(vector[ids], inside) / size[:, None] + self.bias)
             d = (p - soft) * (weight / total)[:, None]
-            by_type = column_sums(ids, (d / size[:, None])[of], len(types))
+            by_type = np.zeros((len(types), GRADES))
+            by_type[word_of] = np.add.reduceat((d / size[:, None])[sentence_of], word_runs)
             words = np.zeros_like(self.words)
-            words[own[own >= 0]] = by_type[own >= 0]
-            g = column_sums(gram, (by_type / many[:, None])[gram_of], len(self.grams)) if len(gram) else np.zeros_like(self.grams)
+            words[own[known]] = by_type[known]
+            g = np.zeros_like(self.grams)
+            if len(gram):
+                g[gram_ids] = np.add.reduceat((by_type / many[:, None])[gram_word], gram_starts)
             return [words + s.word * 1e-4 * self.words, g + s.gram * 1e-4 * self.grams, d.sum(axis=0)]
 
         _adam([self.words, self.grams, self.bias], gradient, s.steps, 0.3)
 
     def _row(self, word: str) -> int:
-        """Row of the word's vector in ``matrix``; new words are added, and all are dropped when there are too many."""
+        """Adds a word's vector to ``matrix``; gives its row."""
         if self.filled == len(self.matrix):
             self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
         g = grams(word)
         vector = self.grams[g].mean(axis=0) if g else np.zeros(GRADES)
         k = self.known.get(word)
         self.matrix[self.filled] = vector if k is None else vector + self.words[k]
-        self.cache[word] = self.filled
         self.filled += 1
         return self.filled - 1
 
@@ -179,14 +223,14 @@ class ReadingModel:
             return np.zeros((0, GRADES))
         if self.filled > CACHED_WORDS:
             self._forget()
-        get, row = self.cache.get, self._row
-        ids = [r if (r := get(w)) is not None else row(w) for s in split for w in s]
+        row = self.cache
+        ids = [row[w] for s in split for w in s]
         size = np.array([len(s) for s in split])
         z = np.add.reduceat(self.matrix[ids], np.concatenate([[0], np.cumsum(size)[:-1]]))
         return _softmax(z / size[:, None] + self.bias)
 
     def _forget(self) -> None:
-        self.cache: dict[str, int] = {}
+        self.cache = _Rows(self)
         self.matrix, self.filled = np.zeros((1024, GRADES)), 0
 
     @staticmethod
@@ -211,9 +255,11 @@ class ReadingModel:
 
         _adam([self.document], gradient, 300, 0.05)
 
-    def probabilities(self, text: str) -> np.ndarray:
-        """Calibrated distribution of a document's grade."""
+    def probabilities(self, text: str) -> np.ndarray | None:
+        """Calibrated distribution of a document's grade; none where it has no sentence."""
         split = [tokens(s) for s in sentences(text)]
+        if not split:
+            return None
         x = (self._profile(self._sentence_probabilities(split), split) - self.mean) / self.scale
         return _softmax((np.append(x, 1.0) @ self.document)[None, :])[0]
 
@@ -221,22 +267,6 @@ class ReadingModel:
         return int(np.argmax(self.probabilities(text))) + 1
 
 
-def _fit_part(k: int, split: list, target: np.ndarray, held: np.ndarray, strength: Strength) -> tuple[ReadingModel | None, dict[int, np.ndarray]]:
-    """The sentence model without the documents of fold ``k`` (-1: with all), and what it says of the sentences of the fold.
-
-    A fold that leaves nothing to fit on is judged by the model of all.
-    """
-    model = object.__new__(ReadingModel)
-    mine = np.flatnonzero(held == k) if k >= 0 else np.zeros(0, dtype=int)
-    if k >= 0 and not len(mine):
-        return None, {}
-    rest = np.flatnonzero(held != k) if k >= 0 and len(mine) < len(split) else np.arange(len(split))
-    model._fit_words([split[i] for i in rest], target[rest], strength)
-    said = {int(i): model._sentence_probabilities(split[i]) for i in mine}
-    model._forget()
-    return (model if k < 0 else None), said
-
-
 def fit_model(documents: DataFrame, labels: DataFrame, key: str, text: str, grade: str, most: int = FIT_DOCUMENTS, strength: Strength = Strength()) -> ReadingModel:
     """The model fitted on at most ``most`` labelled documents, those with the smallest hash of their key.
 
@@ -252,7 +282,7 @@ def fit_model(documents: DataFrame, labels: DataFrame, key: str, text: str, grad
     read = F.sum(F.length(text)).over(Window.orderBy(turn, key).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("_read", read).where(F.col("_read") <= FIT_CHARACTERS).orderBy(turn, key).collect()
     target = np.array([[r[f"_p{g}"] for g in range(1, GRADES + 1)] for r in rows]).reshape(-1, GRADES)
-    return ReadingModel([r[text] for r in rows], target, strength, documents.sparkSession)
+    return ReadingModel([r[text] for r in rows], target, strength)
 
 
 def reading_levels(documents: DataFrame, model: ReadingModel, key: str, text: str) -> DataFrame:
@@ -270,7 +300,7 @@ def reading_levels(documents: DataFrame, model: ReadingModel, key: str, text: st
         for batch in batches:
             grades, levels = [], []
             for t in batch["_t"]:
-                p = m.probabilities(t) if t and m.document is not None and sentences(t) else None
+                p = m.probabilities(t) if t and m.document is not None else None
                 grades.append(None if p is None else int(np.argmax(p)) + 1)
                 levels.append(None if p is None else float(p @ np.arange(1, GRADES + 1)))
             yield pd.DataFrame({key: batch[key], "grade": pd.array(grades, dtype="Int32"), "level": pd.array(levels, dtype="Float64")})
