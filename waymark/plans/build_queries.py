@@ -86,11 +86,36 @@ def q58_features(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (q53_absorption, q54_gates, q55_place_problems, q56_golden_problems, q57_minting, q58_features)}
 
+def _golden_sql() -> str:
+    """The tests of single rows, each with the condition under which it does not hold."""
+    given = lambda c: f"(coalesce(trim({c}), '') <> '')"
+    num = lambda c: f"try_cast({c} AS DOUBLE)"
+    tiers = "('Local', 'Notable', 'Major', 'Icon')"
+    rank = lambda c: f"list_position(['Local', 'Notable', 'Major', 'Icon'], {c})"
+    holds = {
+        "golden_id missing": given("golden_id"), "bad row_kind": "row_kind IN ('positive', 'negative', 'optional')", "expected_name missing": given("expected_name"), "bad iso3": "regexp_matches(iso3, '^[A-Z]{3}$')",
+        "bad type": "row_kind = 'negative' OR type IN ('settlement', 'site', 'area', 'route')", "bad qid": f"NOT {given('qid')} OR regexp_matches(qid, '^Q[0-9]+$')",
+        "bad coordinates": f"NOT ({given('lat')} OR {given('lon')}) OR (abs({num('lat')}) <= 90 AND abs({num('lon')}) <= 180)", "coordinates missing": f"row_kind <> 'positive' OR ({given('lat')} AND {given('lon')})",
+        "bad tolerance": f"row_kind <> 'positive' OR ({num('tol_km')} > 0 AND {num('tol_km')} <= CASE WHEN type IN ('area', 'route') THEN 150 ELSE 50 END)", "bad min_tier": f"row_kind <> 'positive' OR min_tier IN {tiers}",
+        "bad max_tier": f"NOT {given('max_tier')} OR max_tier IN {tiers}", "max_tier below min_tier": f"NOT ({given('max_tier')} AND {given('min_tier')}) OR coalesce({rank('max_tier')} >= {rank('min_tier')}, true)",
+        "relation missing": "row_kind <> 'negative' OR relation IN ('component_of', 'not_above', 'not_credited', 'part_of')", "relation on a positive row": f"row_kind <> 'positive' OR NOT {given('relation')}",
+        "target missing": f"NOT coalesce(row_kind = 'negative' AND relation IN ('not_above', 'not_credited'), false) OR {given('target_id')}",
+    }
+    rows = " UNION ALL ".join(f"SELECT golden_id, '{name}' problem FROM h WHERE NOT coalesce({test}, false)" for name, test in holds.items())
+    return f"""
+        WITH h AS (SELECT DISTINCT * FROM h1), t AS (SELECT golden_id, unnest(string_split(target_id, '|')) t FROM h WHERE {given("target_id")})
+        {rows}
+        UNION ALL SELECT golden_id, 'golden_id repeated' FROM h WHERE {given("golden_id")} GROUP BY 1 HAVING count(*) > 1
+        UNION ALL SELECT golden_id, 'unknown target ' || t FROM t WHERE t <> '' AND t NOT IN (SELECT golden_id FROM h WHERE row_kind = 'positive')
+        UNION ALL SELECT golden_id, 'whs_id not listed' FROM h WHERE {given("whs_id")} AND regexp_extract(whs_id, '^([0-9]+)', 1) NOT IN (SELECT id_number FROM whs_properties)"""
+
+
 _ALPHABET = reg.ALPHABET
 _DIGEST = "('0x' || substr(sha256('qid:' || qid || '#0'), 1, 13))::BIGINT"
 _MINT = "'pl_' || " + " || ".join(f"substr('{_ALPHABET}', (({_DIGEST} >> {5 * i}) & 31)::INT + 1, 1)" for i in range(10))
 
 SQL = {
+    "q56_golden_problems": _golden_sql(),
     "q55_place_problems": f"""
         WITH c0 AS (SELECT lower(trim(place_id)) place_id, arg_max({{'s': status, 'ty': type, 'nm': name_en, 'c': country_iso3, 'la': lat, 'lo': lon, 't': tier}}, loaded_at) r FROM place GROUP BY 1),
         p AS (SELECT place_id, lower(trim(r.ty)) AS type, r.nm name_en, r.c iso3, r.la lat, r.lo lon, r.t tier FROM c0 WHERE coalesce(lower(trim(r.s)) <> 'retired', true))

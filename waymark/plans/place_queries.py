@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, identity
 from ..functions.stats import noisy_or, wilson_lower
-from ..functions.text import base_name, fold
+from ..functions.text import GENERIC, base_name, fold
 from ..operators.candidates import whole_property
 from ..operators.kinds import KindRule, PairRule, class_tests, fire, kind_distribution, select_kinds
 from ..operators.latest import current_places
@@ -239,6 +239,25 @@ SQL = {
         SELECT DISTINCT a.qid FROM l a JOIN l b ON b.population >= 50000 AND a.qid <> b.qid AND abs(a.lat - b.lat) <= 0.1 WHERE {_KM} <= 10""",
     "q18_nearest_site": f"""
         WITH {PLACES} SELECT a.place_id settlement, round(min({_KM}), 4) km FROM lp a CROSS JOIN lp b WHERE a.type = 'settlement' AND b.type = 'site' GROUP BY 1""",
+    # The sequential rules as they are stated, one pair or one candidate a step.
+    "q19_greedy_assignment": f"""
+        WITH RECURSIVE {PLACES}, pr AS (
+            SELECT *, row_number() OVER (ORDER BY km, settlement, area) n FROM (
+                SELECT a.place_id settlement, b.place_id area, round({_KM}, 6) km FROM lp a JOIN lp b ON a.iso3 = b.iso3 AND a.type = 'settlement' AND b.type = 'area' AND abs(a.lat - b.lat) <= 0.6 WHERE {_KM} <= 60)),
+        r(n, ls, rs, took) AS (SELECT 0::BIGINT, []::VARCHAR[], []::VARCHAR[], false
+            UNION ALL SELECT n, CASE WHEN free THEN list_append(ls, settlement) ELSE ls END, CASE WHEN free THEN list_append(rs, area) ELSE rs END, free
+            FROM (SELECT pr.*, ls, rs, NOT list_contains(ls, settlement) AND NOT list_contains(rs, area) free FROM r JOIN pr ON pr.n = r.n + 1))
+        SELECT settlement, area, km FROM r JOIN pr USING (n) WHERE took""",
+    "q21_star_merge": rf"""
+        WITH RECURSIVE {_CANDS}, {ADMITTED},
+        named AS (SELECT qid, iso3, lat, lon, sitelinks, trim(replace(lower(strip_accents(coalesce(label_en, label_loc))), 'ß', 'ss')) nm FROM adm),
+        nodes AS (SELECT *, coalesce(nullif(trim(regexp_replace(regexp_replace(nm, '{GENERIC}', ' ', 'g'), '\s+', ' ', 'g')), ''), nm) base, row_number() OVER (ORDER BY sitelinks DESC, qid) n FROM named),
+        pos AS (SELECT * FROM nodes WHERE {_LOCATED}),
+        nb AS (SELECT a.n, list(b.qid ORDER BY b.n) l FROM pos a JOIN pos b ON a.iso3 = b.iso3 AND a.base = b.base AND b.n < a.n WHERE {_KM} <= 5 GROUP BY 1),
+        walk(n, cs, kept) AS (SELECT 0::BIGINT, []::VARCHAR[], NULL::VARCHAR
+            UNION ALL SELECT n, CASE WHEN c IS NULL THEN list_append(cs, qid) ELSE cs END, coalesce(c, qid)
+            FROM (SELECT nodes.n, qid, cs, list_filter(coalesce(l, []), lambda y: list_contains(cs, y))[1] c FROM walk JOIN nodes ON nodes.n = walk.n + 1 LEFT JOIN nb ON nb.n = nodes.n))
+        SELECT qid, kept FROM walk JOIN nodes USING (n) WHERE kept <> qid""",
     "q20_same_property": f"""
         WITH {_CANDS}, w AS (SELECT *, count(*) OVER (PARTITION BY whs) n FROM c2 WHERE regexp_matches(whs, '^[0-9]+(bis|ter|quater)?$'))
         SELECT whs, qid, first_value(qid) OVER (PARTITION BY whs ORDER BY sitelinks DESC, qid DESC) survivor FROM w WHERE n > 1""",
