@@ -116,7 +116,7 @@ def test_holdout_is_frozen_and_apart(spark):
 
 
 def test_negative_rows_that_places_contradict(spark):
-    row = lambda id_, name, iso, relation, target: (id_, "negative", name, iso, "site", "1", "1", "5", "Local", "Icon", relation, target, None, None, None)
+    row = lambda id_, name, iso, relation, target: (id_, "negative", name, iso, "site", "1", "1", "5", "Local", "Icon", relation, target, None, None, "no")
     for rows, ok in (([row("N1", "Not There", "ABC", "component_of", "G0000000000")], True), ([row("N1", "place 1", "ABC", "component_of", None)], False), ([row("N1", "Not There", "QQQ", "component_of", None)], False),
                      ([row("N1", "Place 1", "ABC", "not_credited", "G0000000003")], False), ([row("N1", "Not There", "ABC", "not_credited", "G9")], False)):
         ctx = context(spark)
